@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -161,6 +162,13 @@ class Dimensions:
     products: Lookup
     overrides: Lookup
 
+    def staged(self) -> Dimensions:
+        """Every table written once, side by side: each is small work beside the documents."""
+        names = [f.name for f in fields(self)]
+        with ThreadPoolExecutor(len(names)) as pool:
+            done = list(pool.map(lambda n: getattr(self, n).staged(n), names))
+        return Dimensions(**dict(zip(names, done)))
+
 
 @dataclass(frozen=True)
 class MasterData:

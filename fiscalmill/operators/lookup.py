@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fiscalmill.sources.staging import stage_counted
+
 BROADCAST_ROWS = 200_000
 """A lookup table is broadcast only up to this many counted rows (a few narrow string columns each)."""
 
@@ -20,23 +22,30 @@ HOT_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class Lookup:
-    """A lookup table whose size is counted once, when a join first needs to know it."""
+    """A lookup table whose size is known from staging it, or counted once when a join first asks."""
 
     frame: DataFrame
+    known_rows: int | None = None
     broadcast_rows: int = BROADCAST_ROWS
     hot_rows: int = HOT_ROWS
 
     @cached_property
     def rows(self) -> int:
-        return self.frame.count()
+        return self.frame.count() if self.known_rows is None else self.known_rows
 
     @property
     def small(self) -> bool:
         return self.rows <= self.broadcast_rows
 
     def where(self, condition: Column) -> Lookup:
+        """Fewer rows; a known size stays as the upper bound it is."""
         return replace(self, frame=self.frame.where(condition))
 
+    def staged(self, name: str) -> Lookup:
+        """Written once with its row count, so that later joins neither recompute nor count it."""
+        frame, rows = stage_counted(self.frame, name)
+        return replace(self, frame=frame, known_rows=rows)
+
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys above `hot_rows` with the number of parts each is split into. Pre-aggregated before the shuffle."""

@@ -50,13 +50,17 @@ class World:
     def dims(self) -> D.Dimensions:
         return D.dimensions(self.master, self.settings)
 
+    @cached_property
+    def staged_dims(self) -> D.Dimensions:
+        return self.dims.staged()
+
     @cached_property
     def docs(self) -> DataFrame:
         return sample.documents(self.spark, self.folder)
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return resolve(self.docs, self.dims, self.settings, KEY)
+        return staging.stage(resolve(self.docs, self.staged_dims, self.settings, KEY), "documents")
 
     @cached_property
     def raw_lines(self) -> DataFrame:
@@ -69,7 +73,7 @@ class World:
 
     @cached_property
     def items(self) -> DataFrame:
-        return I.item_table(self.resolved, self.lines, self.dims, self.settings, KEY)
+        return I.item_table(self.resolved, self.lines, self.staged_dims, self.settings, KEY)
 
     @cached_property
     def sums(self) -> DataFrame:
@@ -77,11 +81,11 @@ class World:
 
     @cached_property
     def open_headers(self) -> DataFrame:
-        return H.unnumbered_headers(self.resolved, self.sums, self.dims, self.settings, KEY)
+        return H.unnumbered_headers(self.resolved, self.sums, self.staged_dims, self.settings, KEY)
 
     @cached_property
     def headers(self) -> DataFrame:
-        return H.header_table(self.resolved, self.sums, self.dims, self.settings, sample.COUNTER, KEY)
+        return H.header_table(self.resolved, self.sums, self.staged_dims, self.settings, sample.COUNTER, KEY)
 
     def texts(self) -> DataFrame:
         return sample.xml_texts(sample.full_documents(self.spark, self.folder))
@@ -94,7 +98,7 @@ class World:
 def xml_scan_items(spark: SparkSession, folder: str) -> DataFrame:
     """Documents written as XML files, scanned natively, staged, and exploded to items."""
     path = staging.new_folder(spark, "landing")
-    sample.xml_texts(sample.full_documents(spark, folder)).select(xml.unify_tags(F.col("text"))).write.text(path)
+    xml.write_files(sample.full_documents(spark, folder), path)
     docs = xml.readable(xml.scan_files(spark, [path]))
     item = F.col("item")
     return I.explode_items(docs).select(
@@ -132,7 +136,7 @@ def tag_unify(spark: SparkSession, folder: str) -> DataFrame:
 def schema_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Known schema extended by what the files hold, as leaf paths and types."""
     path = staging.new_folder(spark, "landing")
-    World(spark, folder).texts().select(xml.unify_tags(F.col("text"))).write.text(path)
+    xml.write_files(sample.full_documents(spark, folder), path)
     found = xml.infer_schema(spark, [path])
     return schema.schema_paths(spark, schema.merge_schemas(schema.document_schema(), found))
 
@@ -177,7 +181,7 @@ def doc_number(spark: SparkSession, folder: str) -> DataFrame:
 def partner_code(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
     kinds = left_lookup(
-        w.resolved, w.dims.partners_by_code, {"COD_FIS_JUR": F.col("_override")}, {"_kind": "IND_FIS_JUR"}, KEY
+        w.resolved, w.staged_dims.partners_by_code, {"COD_FIS_JUR": F.col("_override")}, {"_kind": "IND_FIS_JUR"}, KEY
     )
     return kinds.select(
         *KEY,
@@ -290,7 +294,7 @@ def product_map(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def freight_product(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    return I.freight_items(w.resolved, w.dims, w.settings, KEY).select(*KEY, "COD_PRODUTO", "COD_MEDIDA", "COD_NBM")
+    return I.freight_items(w.resolved, w.staged_dims, w.settings, KEY).select(*KEY, "COD_PRODUTO", "COD_MEDIDA", "COD_NBM")
 
 
 @query
@@ -453,7 +457,7 @@ def item_error(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    return V.run_metrics(w.open_headers, w.items, new_partners(w.docs, w.dims, w.settings), w.settings)
+    return V.run_metrics(w.open_headers, w.items, new_partners(w.resolved, w.staged_dims, w.settings), w.settings)
 
 
 @query

@@ -15,7 +15,7 @@ from fiscalmill.functions.expr import ICMS_VARIANTS, MONEY, SUBSTITUTION_VARIANT
 from fiscalmill.operators.dims import MasterData
 from fiscalmill.operators.lookup import HOT_ROWS, Lookup, left_lookup, salted, salted_join
 from fiscalmill.settings import Settings
-from fiscalmill.sources.schema import document_schema, item_ddl
+from fiscalmill.sources.schema import document_schema
 
 SETTINGS = Settings(
     split_cgc="33009911000007",
@@ -300,7 +300,7 @@ def item_struct(unit_price: Column) -> Column:
         F.when(tax.isNotNull(), F.struct(F.struct(tax.alias("vIPI")).alias("IPITrib"))).alias("IPI"),
         _icms(line, supplier, tax).alias("ICMS"),
     )
-    return F.struct(line.cast("string").alias("_nItem"), prod.alias("prod"), taxes.alias("imposto")).cast(item_ddl())
+    return F.struct(line.cast("string").alias("_nItem"), prod.alias("prod"), taxes.alias("imposto"))
 
 
 def goods_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -328,95 +328,107 @@ def join_lines(docs: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) -> D
 # Documents
 
 
-def _access_key(key: Column) -> Column:
-    series = _digits(_mod(key, 3) + 1, 3)
-    return F.concat(F.lit("3524"), _digits(key, 18), series, _digits(key, 9), F.lit("0" * 10))
+def _access_key(key: str) -> str:
+    number, series = f"cast({key} as string)", f"cast(({key}) % 3 + 1 as string)"
+    return f"concat('3524', lpad({number}, 18, '0'), lpad({series}, 3, '0'), lpad({number}, 9, '0'), repeat('0', 10))"
 
 
-def _body(items: Column) -> Column:
-    """Document body of one order row that carries its customer's columns."""
-    k, c, n = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
-    goods = goods_only(k)
-    freight = ~goods
-    payer = _mod(F.floor(k / 10), 6).cast("int")
-    total = _money(F.col("o_totalprice"))
-    no_recipient = goods & (_mod(k, 9) == 0)
+def _cgc(nation: str) -> str:
+    root = f"if(({nation}) % 5 = 4, '44009911', '33009911')"
+    return f"concat({root}, lpad(cast({nation} as string), 6, '0'))"
 
-    def party(shift: int, when: Column, name: str) -> Column:
-        cgc = establishment_cgc(_mod(k + shift, 25))
-        return F.when(when, F.struct(cgc.alias("CNPJ"))).alias(name)
 
-    def town(shift: int) -> Column:
-        return F.concat(F.lit("35"), town_code(_mod(k + shift, 25)))
+def _state(nation: str) -> str:
+    return f"concat('U', char(65 + {nation}))"
 
-    named_start, named_end = freight & (_mod(k, 3) != 1), freight & (_mod(k, 3) != 2)
-    key_text = k.cast("string")
-    other_payer = F.struct(F.lit("4").alias("toma"), establishment_cgc(_mod(k + 2, 25)).alias("CNPJ"))
-    reference = F.struct(
-        _access_key(k - 1).alias("refNFe"), F.struct((_mod(k, 3) + 1).cast("string").alias("serie")).alias("refNF")
+
+def _town(nation: str) -> str:
+    return f"concat('35', lpad(cast(({nation}) * 37 as string), 5, '0'))"
+
+
+def _fields(**values: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in values.items()) + ")"
+
+
+def _body() -> str:
+    """Document body of one order row that carries its customer's columns and its items.
+
+    SQL text, as it only restates the rules of the sample.
+    """
+    k, n, total = "o_orderkey", "c_nationkey", "cast(o_totalprice as decimal(18,2))"
+    goods, payer = f"({k} % 5 <> 0)", f"({k} div 10 % 6)"
+    no_recipient = f"({k} % 9 = 0)"
+    person = "(o_custkey % 7 = 0)"
+    start, end = f"(not {goods} and {k} % 3 <> 1)", f"(not {goods} and {k} % 3 <> 2)"
+    discount = f"if({k} % 4 = 2, cast(round({total} * 0.01, 2) as decimal(18,2)), null)"
+
+    def party(shift: int, when: str) -> str:
+        return f"if({when}, {_fields(CNPJ=_cgc(f'({k} + {shift}) % 25'))}, null)"
+
+    ide = _fields(
+        nNF=f"if({goods}, cast({k} as string), null)",
+        nCT=f"if({goods}, null, cast({k} as string))",
+        serie=f"cast({k} % 3 + 1 as string)",
+        mod=f"case when {goods} then '55' when {k} % 10 = 0 then '57' else '67' end",
+        dhEmi="concat(date_format(o_orderdate, 'yyyy-MM-dd'), 'T23:30:00-03:00')",
+        CFOP=f"if({goods}, null, cast({k} % 40 + 5101 as string))",
+        UFIni=f"if({start}, {_state(f'({k} + 1) % 25')}, null)",
+        UFFim=f"if({end}, {_state(f'{k} % 25')}, null)",
+        cMunIni=f"if({start}, {_town(f'({k} + 1) % 25')}, null)",
+        cMunFim=f"if({end}, {_town(f'{k} % 25')}, null)",
+        NFref=f"if({k} % 4 = 1, array("
+        + _fields(refNFe=_access_key(f"{k} - 1"), refNF=_fields(serie=f"cast({k} % 3 + 1 as string)"))
+        + "), null)",
+        toma3=f"if(not {goods} and {payer} < 4, {_fields(toma=f'cast({payer} as string)')}, null)",
+        toma4=f"if(not {goods} and {payer} = 4, {_fields(toma=repr('4'), CNPJ=_cgc(f'({k} + 2) % 25'))}, null)",
     )
-    ide = F.struct(
-        F.when(goods, key_text).alias("nNF"),
-        F.when(freight, key_text).alias("nCT"),
-        (_mod(k, 3) + 1).cast("string").alias("serie"),
-        F.when(goods, "55").when(_mod(k, 10) == 0, "57").otherwise("67").alias("mod"),
-        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T23:30:00-03:00")).alias("dhEmi"),
-        F.when(freight, operation_code(k)).alias("CFOP"),
-        F.when(named_start, state_code(_mod(k + 1, 25))).alias("UFIni"),
-        F.when(named_end, state_code(_mod(k, 25))).alias("UFFim"),
-        F.when(named_start, town(1)).alias("cMunIni"),
-        F.when(named_end, town(0)).alias("cMunFim"),
-        F.when(_mod(k, 4) == 1, F.array(reference)).alias("NFref"),
-        F.when(freight & (payer < 4), F.struct(payer.cast("string").alias("toma"))).alias("toma3"),
-        F.when(freight & (payer == 4), other_payer).alias("toma4"),
+    address = _fields(
+        xLgr="concat('Rua cte ', c_mktsegment, ' ', c_name)",
+        nro="cast(o_custkey as string)",
+        xBairro=f"concat('Bairro ', {n}, ' ', c_mktsegment)",
+        xMun=f"concat('Town ', {n})",
+        cMun=_town(n),
+        UF=_state(n),
+        CEP=f"lpad(cast({n} * 1000 as string), 8, '0')",
+        cPais="if(o_custkey % 5 <> 0, '1058', null)",
     )
-    address = F.struct(
-        F.concat(F.lit("Rua cte "), F.col("c_mktsegment"), F.lit(" "), F.col("c_name")).alias("xLgr"),
-        c.cast("string").alias("nro"),
-        F.concat(F.lit("Bairro "), n.cast("string"), F.lit(" "), F.col("c_mktsegment")).alias("xBairro"),
-        F.concat(F.lit("Town "), n.cast("string")).alias("xMun"),
-        F.concat(F.lit("35"), town_code(n)).alias("cMun"),
-        state_code(n).alias("UF"),
-        _digits(n * 1000, 8).alias("CEP"),
-        F.when(_mod(c, 5) != 0, "1058").alias("cPais"),
+    company = (
+        "concat(lpad(cast((o_custkey + 1) % 100000000 as string), 8, '0'), '0001', "
+        "lpad(cast((o_custkey + 1) % 97 as string), 2, '0'))"
     )
-    issuer = F.struct(
-        F.when(~is_person(c), company_id(c)).alias("CNPJ"),
-        F.when(is_person(c), person_id(c)).alias("CPF"),
-        F.when(~is_person(c) | (_mod(c, 14) == 0), _digits(c + 1, 9)).alias("IE"),
-        F.col("c_name").alias("xNome"),
-        address.alias("enderEmit"),
+    issuer = _fields(
+        CNPJ=f"if({person}, null, {company})",
+        CPF=f"if({person}, lpad(cast(o_custkey + 1 as string), 11, '0'), null)",
+        IE=f"if(not {person} or o_custkey % 14 = 0, lpad(cast(o_custkey + 1 as string), 9, '0'), null)",
+        xNome="c_name",
+        enderEmit=address,
     )
-    discount = F.when(_mod(k, 4) == 2, _money(F.round(total * F.lit("0.01").cast("decimal(4,2)"), 2)))
-    net = _money(total - F.coalesce(discount, _money(F.lit(0))))
-    totals = F.struct(F.struct(total.alias("vProd"), net.alias("vNF"), discount.alias("vDesc")).alias("ICMSTot"))
-    service_tax = F.struct(F.when(_mod(k, 3) == 0, F.struct(_money(F.lit("1.00")).alias("vICMS"))).alias("ICMS00"))
-    return F.struct(
-        ide.alias("ide"),
-        issuer.alias("emit"),
-        party(0, freight | ~no_recipient, "dest"),
-        party(1, freight, "rem"),
-        party(3, freight, "exped"),
-        party(4, freight, "receb"),
-        party(2, (freight & (payer == 5)) | no_recipient, "toma"),
-        F.when(freight, F.struct(total.cast("string").alias("vTPrest"))).alias("vPrest"),
-        F.when(freight, F.struct(service_tax.alias("ICMS"))).alias("imp"),
-        F.when(goods, totals).alias("total"),
-        items.alias("det"),
+    totals = _fields(vProd=total, vNF=f"cast({total} - coalesce({discount}, 0) as decimal(18,2))", vDesc=discount)
+    service_tax = f"if({k} % 3 = 0, {_fields(vICMS='cast(1 as decimal(18,2))')}, null)"
+    return _fields(
+        ide=ide,
+        emit=issuer,
+        dest=party(0, f"not {goods} or not {no_recipient}"),
+        rem=party(1, f"not {goods}"),
+        exped=party(3, f"not {goods}"),
+        receb=party(4, f"not {goods}"),
+        toma=party(2, f"if({goods}, {no_recipient}, {payer} = 5)"),
+        vPrest=f"if({goods}, null, {_fields(vTPrest=f'cast({total} as string)')})",
+        imp=f"if({goods}, null, {_fields(ICMS=_fields(ICMS00=service_tax))})",
+        total=f"if({goods}, {_fields(ICMSTot=totals)}, null)",
+        det="_items",
     )
 
 
-def _nested(orders: DataFrame, spark: SparkSession, folder: str, items: Column) -> DataFrame:
-    """Orders (doc_key, filename and whatever `items` needs) as documents."""
+def _nested(orders: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with doc_key, filename and _items as documents."""
     customer = table(spark, folder, "customer")
     names = ["c_name", "c_nationkey", "c_mktsegment"]
     issued = left_lookup(
         orders, Lookup(customer), {"c_custkey": F.col("o_custkey")}, {n: n for n in names}, ["o_orderkey"]
     )
-    schema = document_schema()
-    document = F.struct(_body(items).alias("infNFe")).cast(schema["NFe"].dataType)
-    proof = F.struct(F.struct(_access_key(F.col("o_orderkey")).alias("chNFe")).alias("infProt"))
-    return issued.select("doc_key", "filename", proof.cast(schema["protNFe"].dataType).alias("protNFe"), document.alias("NFe"))
+    proof = _fields(infProt=_fields(chNFe=_access_key("o_orderkey")))
+    return issued.selectExpr("doc_key", "filename", f"{proof} as protNFe", f"{_fields(infNFe=_body())} as NFe")
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -433,7 +445,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     orders = _orders(spark, folder).join(first_operation_codes(spark, folder), "doc_key", "left")
     code = F.col("first_cfop")
-    return _nested(orders, spark, folder, F.when(code.isNotNull(), F.array(_partial_item(code))))
+    first = F.when(code.isNotNull(), F.array(_partial_item(code)))
+    return _nested(orders.withColumn("_items", first), spark, folder)
 
 
 def _partial_item(code: Column) -> Column:
@@ -464,7 +477,7 @@ def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
     with_lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey"))).select("l_orderkey").distinct()
     empty = orders.join(with_lines, orders["doc_key"] == with_lines["l_orderkey"], "left_anti")
     both = filled.unionByName(empty, allowMissingColumns=True)
-    return _nested(both, spark, folder, F.col("_items"))
+    return _nested(both, spark, folder)
 
 
 def xml_texts(docs: DataFrame) -> DataFrame:
