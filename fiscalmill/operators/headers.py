@@ -68,11 +68,11 @@ def unnumbered_headers(
     settings: Settings,
     passed: list[str],
     hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Headers joined to item sums and to the partner of the summed items."""
+    """Headers joined to item sums and to the partner of the summed items. `rows` is the number of documents."""
     spread = [*passed, "NUM_AUTENTIC_NFE", "SERIE_DOCFIS"]
     out = document_columns(docs, settings, passed)
-    out = left_lookup(out, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, CFOP_COLUMNS, spread)
 
     # Company, establishment and partner come from the sums, so a header without matching items has none.
     keys = [f"_doc_{k}" for k in SUM_KEYS if k != "NUM_DOCFIS"] + ["NUM_DOCFIS"]
@@ -80,8 +80,8 @@ def unnumbered_headers(
         "*",
         *[F.col(k).alias(f"_doc_{k}") for k in SUM_KEYS if k != "NUM_DOCFIS"],
     )
-    out = salted_join(out, named, keys, spread, hot_rows)
-
+    out = salted_join(out, named, keys, spread, hot_rows, left_rows=rows)
+    out = left_lookup(out, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, CFOP_COLUMNS, spread)
     partner = {"_param_uf": "UF", "_param_mun": "COD_MUNICIPIO"}
     out = left_lookup(out, dims.partners_by_code, {"COD_FIS_JUR": F.col("COD_FIS_JUR")}, partner, spread)
 
@@ -118,8 +118,9 @@ def header_table(
     counter: int | Column,
     passed: list[str],
     hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Header table of resolved documents, numbered from `counter` on."""
-    rows = unnumbered_headers(docs, sums, dims, settings, passed, hot_rows)
+    rows = unnumbered_headers(docs, sums, dims, settings, passed, hot_rows, rows)
     order = number_order() + [F.col(c).asc_nulls_first() for c in passed]
     return number_rows(rows, order, counter, NUMBER).select(*HEADER_LAYOUT, *passed)

@@ -62,8 +62,15 @@ def _with_parts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     return joined.select(*[df[c] for c in df.columns], F.coalesce(renamed["_parts"], F.lit(1)).alias("_parts"))
 
 
-def salted(df: DataFrame, keys: list[str], spread: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows with a _salt column that splits hot keys evenly by the hash of `spread`, and the hot keys."""
+def salted(
+    df: DataFrame, keys: list[str], spread: list[str], hot_rows: int = HOT_ROWS, rows: int | None = None
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows with a _salt column that splits hot keys evenly by the hash of `spread`, and the hot keys.
+
+    When `rows`, the known number of rows, is itself below the limit, no key can exceed it and nothing is split.
+    """
+    if rows is not None and rows <= hot_rows:
+        return df.withColumn("_salt", F.lit(0)), None
     hot = hot_keys(df, keys, hot_rows)
     salt = F.pmod(F.xxhash64(*spread), F.col("_parts").cast("bigint")).cast("int")
     return _with_parts(df, hot, keys).withColumn("_salt", salt).drop("_parts"), hot
@@ -76,12 +83,15 @@ def salted_join(
     spread: list[str],
     hot_rows: int = HOT_ROWS,
     how: str = "left",
+    left_rows: int | None = None,
 ) -> DataFrame:
     """Left or inner join on equally named keys in which no key is wholly in one task.
 
     Right rows of a hot key are repeated once per part; all other rows go through once.
     """
-    spread_left, hot = salted(left, keys, spread, hot_rows)
+    spread_left, hot = salted(left, keys, spread, hot_rows, left_rows)
+    if hot is None:
+        return left.join(right, keys, how)
     part = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_salt")
     repeated = _with_parts(right, hot, keys).select(*right.columns, part)
     return spread_left.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from fiscalmill.operators.documents import receiving_establishment, resolve
 from fiscalmill.operators.lookup import left_lookup, salted_join
 from fiscalmill.operators.partners import new_partners
 from fiscalmill.plans import batch, variants
+from fiscalmill.session import tune
 from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT
 from fiscalmill.sources import sample, schema, sinks, staging, xml
 from fiscalmill.streaming import intake
@@ -29,7 +30,11 @@ RUN = "20240131000000"
 
 
 def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
+    @wraps(f)
+    def tuned(spark: SparkSession, folder: str) -> DataFrame:
+        return f(tune(spark), folder)
+
+    QUERIES[f.__name__] = tuned
     return f
 
 
@@ -59,8 +64,16 @@ class World:
         return sample.documents(self.spark, self.folder)
 
     @cached_property
+    def _resolved(self) -> tuple[DataFrame, int]:
+        return staging.stage_counted(resolve(self.docs, self.staged_dims, self.settings, KEY), "documents")
+
+    @property
     def resolved(self) -> DataFrame:
-        return staging.stage(resolve(self.docs, self.staged_dims, self.settings, KEY), "documents")
+        return self._resolved[0]
+
+    @property
+    def documents(self) -> int:
+        return self._resolved[1]
 
     @cached_property
     def raw_lines(self) -> DataFrame:
@@ -69,7 +82,7 @@ class World:
     @cached_property
     def lines(self) -> DataFrame:
         goods = self.resolved.where(E.doc("ide.nNF").isNotNull())
-        return sample.join_lines(I.lines_of(goods, KEY), self.raw_lines)
+        return sample.join_lines(I.lines_of(goods, KEY), self.raw_lines, self.table("lineitem").count())
 
     @cached_property
     def items(self) -> DataFrame:
@@ -81,11 +94,15 @@ class World:
 
     @cached_property
     def open_headers(self) -> DataFrame:
-        return H.unnumbered_headers(self.resolved, self.sums, self.staged_dims, self.settings, KEY)
+        return H.unnumbered_headers(
+            self.resolved, self.sums, self.staged_dims, self.settings, KEY, rows=self.documents
+        )
 
     @cached_property
     def headers(self) -> DataFrame:
-        return H.header_table(self.resolved, self.sums, self.staged_dims, self.settings, sample.COUNTER, KEY)
+        return H.header_table(
+            self.resolved, self.sums, self.staged_dims, self.settings, sample.COUNTER, KEY, rows=self.documents
+        )
 
     def texts(self) -> DataFrame:
         return sample.xml_texts(sample.full_documents(self.spark, self.folder))
@@ -115,14 +132,14 @@ def xml_scan_items(spark: SparkSession, folder: str) -> DataFrame:
 def xml_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Files that do not fit the schema, written as a CSV list and read back."""
     texts = World(spark, folder).texts().unionByName(sample.bad_texts(spark, folder))
-    bad = xml.quarantined(xml.parse_documents(texts))
+    bad = xml.quarantined(staging.stage(xml.parse_documents(texts), "documents"))
     return sinks.csv_round_trip(bad, staging.new_folder(spark, "quarantine"))
 
 
 @query
 def tag_unify(spark: SparkSession, folder: str) -> DataFrame:
     """Both document families read through one vocabulary; words inside the data stay as they are."""
-    docs = xml.readable(xml.parse_documents(World(spark, folder).texts()))
+    docs = xml.readable(staging.stage(xml.parse_documents(World(spark, folder).texts()), "documents"))
     return docs.select(
         "doc_key",
         E.header_class(E.doc("ide.nNF"), E.doc("ide.mod"), sample.SETTINGS.freight_model).alias("COD_DOCTO"),
@@ -394,7 +411,7 @@ def item_tax_by_series(spark: SparkSession, folder: str) -> DataFrame:
 def header_items_inner(spark: SparkSession, folder: str) -> DataFrame:
     """Headers that have item sums, by the superseded three keys."""
     w = World(spark, folder)
-    return variants.headers_with_sums(w.resolved, I.item_sums_by_number(w.items), KEY)
+    return variants.headers_with_sums(w.resolved, I.item_sums_by_number(w.items), KEY, rows=w.documents)
 
 
 # Headers

@@ -11,7 +11,9 @@ from fiscalmill.operators.lookup import HOT_ROWS, salted_join
 NUMBER_KEYS = ["COD_EMPRESA", "COD_ESTAB", "NUM_DOCFIS"]
 
 
-def headers_with_sums(docs: DataFrame, sums: DataFrame, passed: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def headers_with_sums(
+    docs: DataFrame, sums: DataFrame, passed: list[str], hot_rows: int = HOT_ROWS, rows: int | None = None
+) -> DataFrame:
     """Inner join of headers to item sums by company, establishment and number; others drop out."""
     heads = docs.select(
         *passed,
@@ -21,7 +23,7 @@ def headers_with_sums(docs: DataFrame, sums: DataFrame, passed: list[str], hot_r
         E.doc("emit.CPF").alias("_cpf"),
         E.doc("emit.IE").alias("_ie"),
     )
-    joined = salted_join(heads, sums, NUMBER_KEYS, passed, hot_rows, how="inner")
+    joined = salted_join(heads, sums, NUMBER_KEYS, passed, hot_rows, "inner", rows)
     amounts = {
         name: E.fixed_point(E.avulsa_amount(F.col("_cpf"), F.col("_ie"), F.col(name)), 2, 15)
         for name in ("BASE_IPI", "BASE_OUTR_ICMS", "BASE_ISEN_ICMS")

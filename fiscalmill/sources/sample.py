@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from fiscalmill.functions.expr import ICMS_VARIANTS, MONEY, SUBSTITUTION_VARIANTS
 from fiscalmill.operators.dims import MasterData
 from fiscalmill.operators.lookup import HOT_ROWS, Lookup, left_lookup, salted, salted_join
+from fiscalmill.session import over_all_cores
 from fiscalmill.settings import Settings
 from fiscalmill.sources.schema import document_schema
 
@@ -35,56 +36,51 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _digits(c: Column, width: int) -> Column:
-    return F.lpad(c.cast("string"), width, "0")
+# The rules of the sample are SQL text: one call to the parser for each instead of thousands of column calls.
 
 
-def _money(c: Column) -> Column:
-    return c.cast(MONEY)
-
-
-def _mod(c: Column, n: int) -> Column:
-    return F.pmod(c, F.lit(n))
+def _fields(**values: str) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in values.items()) + ")"
 
 
-def state_code(nation: Column) -> Column:
-    return F.concat(F.lit("U"), F.char(F.lit(65) + nation.cast("int")))
+def _digits(value: str, width: int) -> str:
+    return f"lpad(cast({value} as string), {width}, '0')"
 
 
-def town_code(nation: Column) -> Column:
-    return _digits(nation * 37, 5)
+def _money(value: str) -> str:
+    return f"cast({value} as {MONEY})"
 
 
-def establishment_cgc(nation: Column) -> Column:
-    root = F.when(_mod(nation, 5) == 4, "44009911").otherwise("33009911")
-    return F.concat(root, _digits(nation, 6))
+def _state(nation: str) -> str:
+    return f"concat('U', char(65 + {nation}))"
 
 
-def company_id(customer: Column) -> Column:
-    """Company tax id of a customer: root, branch 0001, two check digits."""
-    number = customer + 1
-    return F.concat(_digits(_mod(number, 100000000), 8), F.lit("0001"), _digits(_mod(number, 97), 2))
+def _town(nation: str) -> str:
+    return _digits(f"({nation}) * 37", 5)
 
 
-def person_id(customer: Column) -> Column:
-    return _digits(customer + 1, 11)
+def _cgc(nation: str) -> str:
+    return f"concat(if(({nation}) % 5 = 4, '44009911', '33009911'), {_digits(nation, 6)})"
 
 
-def is_person(customer: Column) -> Column:
-    return _mod(customer, 7) == 0
+def _company(customer: str) -> str:
+    """Company tax id of a customer: root, branch 0001, two check digits."""
+    root, check = f"({customer} + 1) % 100000000", f"({customer} + 1) % 97"
+    return f"concat({_digits(root, 8)}, '0001', {_digits(check, 2)})"
 
 
-def issuer_id(customer: Column) -> Column:
-    return F.when(is_person(customer), person_id(customer)).otherwise(company_id(customer))
+def _issuer(customer: str) -> str:
+    return f"if({customer} % 7 = 0, {_digits(f'{customer} + 1', 11)}, {_company(customer)})"
 
 
-def operation_code(n: Column) -> Column:
-    return (_mod(n, 40) + 5101).cast("string")
+def _access_key(key: str) -> str:
+    series = f"({key}) % 3 + 1"
+    return f"concat('3524', {_digits(key, 18)}, {_digits(series, 3)}, {_digits(key, 9)}, repeat('0', 10))"
 
 
 def goods_only(key: Column) -> Column:
     """Keys that end in 0 or 5 are freight documents."""
-    return _mod(key, 5) != 0
+    return key % 5 != 0
 
 
 # Master data
@@ -94,9 +90,7 @@ def master_data(spark: SparkSession, folder: str, settings: Settings = SETTINGS)
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     return MasterData(
         establishments=_establishments(nation, settings),
-        states=nation.select(
-            F.col("n_nationkey").alias("IDENT_ESTADO"), state_code(F.col("n_nationkey")).alias("COD_ESTADO")
-        ),
+        states=nation.selectExpr("n_nationkey as IDENT_ESTADO", f"{_state('n_nationkey')} as COD_ESTADO"),
         partners=_partners(table(spark, folder, "customer")),
         heads=parameter_heads(region, settings),
         details=parameter_details(table(spark, folder, "part"), table(spark, folder, "customer"), settings),
@@ -106,111 +100,95 @@ def master_data(spark: SparkSession, folder: str, settings: Settings = SETTINGS)
 
 
 def _establishments(nation: DataFrame, settings: Settings) -> DataFrame:
-    n = F.col("n_nationkey")
-    own = F.concat(F.when(_mod(n, 6) == 5, "XX").otherwise("BR"), _digits(n, 2))
-    codes = F.when(n == 7, F.array(own, F.lit(settings.split_keep_code))).otherwise(F.array(own))
-    return nation.select(
-        _digits(F.col("n_regionkey"), 3).alias("COD_EMPRESA"),
-        F.explode(codes).alias("COD_ESTAB"),
-        establishment_cgc(n).alias("CGC"),
-        town_code(n).alias("COD_MUNICIPIO"),
-        n.alias("IDENT_ESTADO"),
+    n = "n_nationkey"
+    own = f"concat(if({n} % 6 = 5, 'XX', 'BR'), {_digits(n, 2)})"
+    return nation.selectExpr(
+        f"{_digits('n_regionkey', 3)} as COD_EMPRESA",
+        f"explode(if({n} = 7, array({own}, '{settings.split_keep_code}'), array({own}))) as COD_ESTAB",
+        f"{_cgc(n)} as CGC",
+        f"{_town(n)} as COD_MUNICIPIO",
+        f"{n} as IDENT_ESTADO",
     )
 
 
 def _partners(customer: DataFrame) -> DataFrame:
     """Two versions of most customers, and a row of its own for every second override code."""
-    c, n = F.col("c_custkey"), F.col("c_nationkey")
-    old_date = F.when(_mod(c, 17) == 0, F.lit(None)).otherwise(F.lit("2020-01-01")).cast("date")
-    kind = (_mod(c, 2) + 1).cast("string")
-
-    def version(ident: Column, valid: Column, kind: Column) -> Column:
-        return F.struct(
-            F.when(is_person(c), person_id(c)).otherwise(company_id(c)).alias("CPF_CGC"),
-            F.concat(F.lit("C"), c.cast("string")).alias("COD_FIS_JUR"),
-            kind.alias("IND_FIS_JUR"),
-            ident.alias("IDENT_FIS_JUR"),
-            valid.alias("VALID_FIS_JUR"),
-            town_code(n).alias("COD_MUNICIPIO"),
-            n.alias("IDENT_ESTADO"),
+    c, n = "c_custkey", "c_nationkey"
+
+    def version(tax_id: str, code: str, kind: str, step: int, valid: str, state: str) -> str:
+        return _fields(
+            CPF_CGC=tax_id,
+            COD_FIS_JUR=code,
+            IND_FIS_JUR=kind,
+            IDENT_FIS_JUR=f"{c} * 4 + {step}",
+            VALID_FIS_JUR=valid,
+            COD_MUNICIPIO=_town(state),
+            IDENT_ESTADO=state,
         )
 
-    override = F.struct(
-        F.lpad(c.cast("string"), 14, "9").alias("CPF_CGC"),
-        F.concat(F.lit("P"), c.cast("string")).alias("COD_FIS_JUR"),
-        F.lit("2").alias("IND_FIS_JUR"),
-        (c * 4 + 3).alias("IDENT_FIS_JUR"),
-        F.lit("2021-06-01").cast("date").alias("VALID_FIS_JUR"),
-        town_code(_mod(n + 1, 25)).alias("COD_MUNICIPIO"),
-        _mod(n + 1, 25).alias("IDENT_ESTADO"),
+    code = f"concat('C', {c})"
+    old = version(_issuer(c), code, "'3'", 1, f"if({c} % 17 = 0, null, date '2020-01-01')", n)
+    new = version(_issuer(c), code, f"cast({c} % 2 + 1 as string)", 2, "date '2022-01-01'", n)
+    other = version(
+        f"lpad(cast({c} as string), 14, '9')", f"concat('P', {c})", "'2'", 3, "date '2021-06-01'", f"(({n} + 1) % 25)"
     )
-    versions = F.array(
-        version(c * 4 + 1, old_date, F.lit("3")), version(c * 4 + 2, F.lit("2022-01-01").cast("date"), kind)
-    )
-    nothing = F.slice(versions, 1, 0)
-    rows = F.concat(
-        F.when(_mod(c, 4) != 0, versions).otherwise(nothing),
-        F.when(_mod(c, 22) == 0, F.array(override)).otherwise(nothing),
-    )
-    return customer.select(F.explode(rows).alias("r")).select("r.*")
+    rows = f"array_compact(array(if({c} % 4 <> 0, {old}, null), if({c} % 4 <> 0, {new}, null), if({c} % 22 = 0, {other}, null)))"
+    return customer.selectExpr(f"explode({rows}) as r").select("r.*")
 
 
 def parameter_heads(region: DataFrame, settings: Settings) -> DataFrame:
-    r = F.col("r_regionkey")
-    name = F.when(r == 0, settings.param_framework).otherwise(F.concat(F.lit("OTHER_"), r.cast("string")))
-    return region.select((r + 1).cast("bigint").alias("ID_PARAMETROS"), name.alias("NOME_FRAMEWORK"))
+    return region.selectExpr(
+        "cast(r_regionkey + 1 as bigint) as ID_PARAMETROS",
+        f"if(r_regionkey = 0, '{settings.param_framework}', concat('OTHER_', r_regionkey)) as NOME_FRAMEWORK",
+    )
 
 
 def product_mapping(part: DataFrame, settings: Settings) -> DataFrame:
     """Mapping rows of the products; some keys have lost their leading zero."""
-    p = F.col("p_partkey")
-    code = F.when(_mod(p, 20) == 1, _digits(p, 7)).otherwise(_digits(p, 8))
-    return part.select(
-        p.alias("_p"),
-        F.lit(settings.product_param).alias("NOME_PARAM"),
-        code.alias("CONTEUDO"),
-        F.col("p_name").alias("DESCRICAO"),
-        p.cast("string").alias("VALOR"),
+    p = "p_partkey"
+    return part.selectExpr(
+        f"{p} as _p",
+        f"'{settings.product_param}' as NOME_PARAM",
+        f"if({p} % 20 = 1, {_digits(p, 7)}, {_digits(p, 8)}) as CONTEUDO",
+        "p_name as DESCRICAO",
+        f"cast({p} as string) as VALOR",
     )
 
 
 def operation_mapping(part: DataFrame, settings: Settings) -> DataFrame:
     """Mapping rows of the operation codes, once per part that uses one."""
-    p = F.col("p_partkey")
-    code = _mod(p, 40) + 5101
-    value = F.concat((code - 4000).cast("string"), F.lit("/"), _digits(code - 5101, 3))
-    return part.where(code <= 5135).select(
-        p.alias("_p"),
-        F.lit(settings.cfop_param).alias("NOME_PARAM"),
-        code.cast("string").alias("CONTEUDO"),
-        F.concat(F.lit("CFOP "), code.cast("string")).alias("DESCRICAO"),
-        value.alias("VALOR"),
+    n = "p_partkey % 40"
+    return part.where(f"{n} <= 34").selectExpr(
+        "p_partkey as _p",
+        f"'{settings.cfop_param}' as NOME_PARAM",
+        f"cast({n} + 5101 as string) as CONTEUDO",
+        f"concat('CFOP ', {n} + 5101) as DESCRICAO",
+        f"concat({n} + 1101, '/', {_digits(n, 3)}) as VALOR",
     )
 
 
 def override_mapping(customer: DataFrame, settings: Settings) -> DataFrame:
-    c = F.col("c_custkey")
-    return customer.where((_mod(c, 11) == 0) & ~is_person(c)).select(
-        c.alias("_p"),
-        F.lit(settings.override_param).alias("NOME_PARAM"),
-        company_id(c).alias("CONTEUDO"),
-        F.col("c_name").alias("DESCRICAO"),
-        F.concat(F.lit("P"), c.cast("string")).alias("VALOR"),
+    c = "c_custkey"
+    return customer.where(f"{c} % 11 = 0 and {c} % 7 <> 0").selectExpr(
+        f"{c} as _p",
+        f"'{settings.override_param}' as NOME_PARAM",
+        f"{_company(c)} as CONTEUDO",
+        "c_name as DESCRICAO",
+        f"concat('P', {c}) as VALOR",
     )
 
 
 def parameter_details(part: DataFrame, customer: DataFrame, settings: Settings) -> DataFrame:
     """Parameter rows; products with a key that ends in 0 belong to a group the settings do not name."""
-    in_group = (_mod(F.col("_p"), 10) != 0) | (F.col("NOME_PARAM") != settings.product_param)
     mappings = (
         product_mapping(part, settings)
         .unionByName(operation_mapping(part, settings))
         .unionByName(override_mapping(customer, settings))
     )
-    kind = F.when(F.col("NOME_PARAM") == settings.product_param, 0).when(F.col("NOME_PARAM") == settings.cfop_param, 1)
-    return mappings.select(
-        (F.col("_p") * 3 + F.coalesce(kind, F.lit(2))).alias("ID_PARAM_DET"),
-        F.when(in_group, 1).otherwise(2).cast("bigint").alias("ID_PARAMETRO"),
+    names = f"'{settings.product_param}', '{settings.cfop_param}'"
+    return mappings.selectExpr(
+        f"_p * 3 + coalesce(nullif(array_position(array({names}), NOME_PARAM), 0), 3) as ID_PARAM_DET",
+        f"cast(if(NOME_PARAM = '{settings.product_param}' and _p % 10 = 0, 2, 1) as bigint) as ID_PARAMETRO",
         "NOME_PARAM",
         "CONTEUDO",
         "DESCRICAO",
@@ -218,98 +196,90 @@ def parameter_details(part: DataFrame, customer: DataFrame, settings: Settings)
     )
 
 
-def _unit_id(part_brand: Column) -> Column:
-    return F.regexp_extract(part_brand, "([0-9]+)$", 1).cast("int")
+UNIT_ID = "cast(regexp_extract(p_brand, '([0-9]+)$', 1) as int)"
 
 
 def _product_versions(part: DataFrame) -> DataFrame:
     """Two versions per product, a tie for some, none for others."""
-    p, unit = F.col("p_partkey"), _unit_id(F.col("p_brand"))
 
-    def version(day: str, unit: Column) -> Column:
-        return F.struct(F.lit(day).cast("date").alias("VALID_PRODUTO"), unit.alias("IDENT_UND_PADRAO"))
+    def version(day: str, unit: str) -> str:
+        return _fields(VALID_PRODUTO=f"date '{day}'", IDENT_UND_PADRAO=unit)
 
-    two = F.array(version("2020-01-01", _mod(unit + 3, 25)), version("2021-01-01", unit))
-    tied = F.concat(two, F.array(version("2021-01-01", _mod(unit, 25) + 1)))
-    rows = F.when(_mod(p, 50) == 1, tied).otherwise(two)
+    old, new = version("2020-01-01", f"({UNIT_ID} + 3) % 25"), version("2021-01-01", UNIT_ID)
+    tie = f"if(p_partkey % 50 = 1, {version('2021-01-01', f'{UNIT_ID} % 25 + 1')}, null)"
     return (
-        part.where(_mod(p, 30) != 7)
-        .select(p.cast("string").alias("COD_PRODUTO"), F.explode(rows).alias("v"))
+        part.where("p_partkey % 30 <> 7")
+        .selectExpr(
+            "cast(p_partkey as string) as COD_PRODUTO", f"explode(array_compact(array({old}, {new}, {tie}))) as v"
+        )
         .select("COD_PRODUTO", "v.*")
     )
 
 
 def _units(part: DataFrame) -> DataFrame:
-    brand = F.col("p_brand")
-    return part.select(_unit_id(brand).alias("IDENT_UND_PADRAO"), brand.alias("COD_UND_PADRAO")).distinct()
+    return part.selectExpr(f"{UNIT_ID} as IDENT_UND_PADRAO", "p_brand as COD_UND_PADRAO").distinct()
 
 
 def operation_codes(part: DataFrame) -> DataFrame:
-    code = _mod(F.col("p_partkey"), 40) + 5101
-    return part.select(code.alias("COD_CFO"), F.concat(F.lit("CFOP "), code.cast("string")).alias("DESCRICAO"))
+    code = "p_partkey % 40 + 5101"
+    return part.selectExpr(f"{code} as COD_CFO", f"concat('CFOP ', {code}) as DESCRICAO")
 
 
 def product_codes(part: DataFrame) -> DataFrame:
-    return part.select(_digits(F.col("p_partkey"), 8).alias("COD_NBM"), F.col("p_name").alias("DESCRICAO"))
+    return part.selectExpr(f"{_digits('p_partkey', 8)} as COD_NBM", "p_name as DESCRICAO")
 
 
 # Items
 
 
-def _icms(line: Column, supplier: Column, tax: Column) -> Column:
+def _icms(tax: str) -> str:
     """The one tax group of an item, chosen by its line number."""
     groups = {"ICMS00": 1, "ICMS10": 2, "ICMS40": 3, "ICMSSN102": 4, "ICMS90": 5, "ICMSSN900": 6, "ICMS60": 7}
-    substitution = {"ICMS10": ("2.00", None), "ICMS90": ("3.00", "0.50"), "ICMSSN900": ("4.00", None)}
-    origin = _mod(supplier, 3).cast("string")
+    substitution = {"ICMS10": ("2.00", "null"), "ICMS90": ("3.00", "0.50"), "ICMSSN900": ("4.00", "null")}
 
-    def group(name: str) -> Column:
-        fields = [origin.alias("orig")]
+    def group(name: str) -> str:
+        fields = {"orig": "cast(l_suppkey % 3 as string)"}
         if name == "ICMS00":
-            fields.append(tax.alias("vICMS"))
+            fields["vICMS"] = tax
         if name in SUBSTITUTION_VARIANTS:
-            st, fcp = substitution.get(name, (None, None))
-            fields += [_money(F.lit(st)).alias("vICMSST"), _money(F.lit(fcp)).alias("vFCPST")]
-        return F.when(line == groups.get(name, 0), F.struct(*fields)).alias(name)
+            st, fcp = substitution.get(name, ("null", "null"))
+            fields |= {"vICMSST": _money(st), "vFCPST": _money(fcp)}
+        return f"if(l_linenumber = {groups.get(name, 0)}, {_fields(**fields)}, null)"
 
-    return F.struct(*[group(v) for v in ICMS_VARIANTS])
+    return _fields(**{v: group(v) for v in ICMS_VARIANTS})
 
 
-def item_struct(unit_price: Column) -> Column:
+def item_sql(unit_price: str) -> str:
     """Item of one lineitem row, typed as the document schema has it."""
-    part, supplier, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    value = _money(F.col("l_extendedprice"))
-
-    def share(rate: str) -> Column:
-        amount = _money(F.round(value * F.col(rate).cast("decimal(4,2)"), 2))
-        return F.when(amount != 0, amount)
-
-    tax = share("l_tax")
-    prod = F.struct(
-        operation_code(part).alias("CFOP"),
-        _digits(part, 8).alias("NCM"),
-        F.lit("UN").alias("uCom"),
-        F.col("l_quantity").cast("decimal(18,6)").alias("qCom"),
-        unit_price.cast("decimal(21,10)").alias("vUnCom"),
-        value.alias("vProd"),
-        share("l_discount").alias("vDesc"),
-        F.when(line == 7, _money(F.lit("0.25"))).alias("vOutro"),
-        F.when(_mod(supplier, 2) == 0, _money(F.lit("1.00"))).alias("vFrete"),
-        F.when(_mod(part, 13) == 0, _money(F.lit("0.10"))).alias("vSeg"),
-    )
-    taxes = F.struct(
-        F.when(tax.isNotNull(), F.struct(F.struct(tax.alias("vIPI")).alias("IPITrib"))).alias("IPI"),
-        _icms(line, supplier, tax).alias("ICMS"),
+    value = _money("l_extendedprice")
+
+    def share(rate: str) -> str:
+        return f"nullif({_money(f'round({value} * cast({rate} as decimal(4,2)), 2)')}, 0)"
+
+    prod = _fields(
+        CFOP="cast(l_partkey % 40 + 5101 as string)",
+        NCM=_digits("l_partkey", 8),
+        uCom="'UN'",
+        qCom="cast(l_quantity as decimal(18,6))",
+        vUnCom=f"cast({unit_price} as decimal(21,10))",
+        vProd=value,
+        vDesc=share("l_discount"),
+        vOutro=f"if(l_linenumber = 7, {_money('0.25')}, null)",
+        vFrete=f"if(l_suppkey % 2 = 0, {_money('1.00')}, null)",
+        vSeg=f"if(l_partkey % 13 = 0, {_money('0.10')}, null)",
     )
-    return F.struct(line.cast("string").alias("_nItem"), prod.alias("prod"), taxes.alias("imposto"))
+    tax = share("l_tax")
+    ipi = f"if({tax} is null, null, {_fields(IPITrib=_fields(vIPI=tax))})"
+    return _fields(_nItem="cast(l_linenumber as string)", prod=prod, imposto=_fields(IPI=ipi, ICMS=_icms(tax)))
 
 
 def goods_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of a goods invoice: doc_key, item."""
-    lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey")))
-    prices = table(spark, folder, "part").select("p_partkey", _money(F.col("p_retailprice")).alias("price"))
+    lines = over_all_cores(table(spark, folder, "lineitem")).where(goods_only(F.col("l_orderkey")))
+    prices = table(spark, folder, "part").selectExpr("p_partkey", f"{_money('p_retailprice')} as price")
     spread = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
     priced = left_lookup(lines, Lookup(prices), {"p_partkey": F.col("l_partkey")}, {"_price": "price"}, spread)
-    return priced.select(F.col("l_orderkey").alias("doc_key"), item_struct(F.col("_price")).alias("item"))
+    return priced.selectExpr("l_orderkey as doc_key", f"{item_sql('_price')} as item")
 
 
 def first_operation_codes(spark: SparkSession, folder: str) -> DataFrame:
@@ -317,50 +287,26 @@ def first_operation_codes(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey")))
     first = F.min(F.struct("l_linenumber", "l_partkey"))
     codes = lines.groupBy(F.col("l_orderkey").alias("doc_key")).agg(first.alias("f"))
-    return codes.select("doc_key", operation_code(F.col("f.l_partkey")).alias("first_cfop"))
+    return codes.selectExpr("doc_key", "cast(f.l_partkey % 40 + 5101 as string) as first_cfop")
 
 
-def join_lines(docs: DataFrame, lines: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def join_lines(docs: DataFrame, lines: DataFrame, rows: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Lines with the columns of their document; an order with very many lines is split."""
-    return salted_join(lines, docs, ["doc_key"], ["item"], hot_rows)
+    return salted_join(lines, docs, ["doc_key"], ["item"], hot_rows, left_rows=rows)
 
 
 # Documents
 
 
-def _access_key(key: str) -> str:
-    number, series = f"cast({key} as string)", f"cast(({key}) % 3 + 1 as string)"
-    return f"concat('3524', lpad({number}, 18, '0'), lpad({series}, 3, '0'), lpad({number}, 9, '0'), repeat('0', 10))"
-
-
-def _cgc(nation: str) -> str:
-    root = f"if(({nation}) % 5 = 4, '44009911', '33009911')"
-    return f"concat({root}, lpad(cast({nation} as string), 6, '0'))"
-
-
-def _state(nation: str) -> str:
-    return f"concat('U', char(65 + {nation}))"
-
-
-def _town(nation: str) -> str:
-    return f"concat('35', lpad(cast(({nation}) * 37 as string), 5, '0'))"
-
-
-def _fields(**values: str) -> str:
-    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in values.items()) + ")"
-
-
 def _body() -> str:
-    """Document body of one order row that carries its customer's columns and its items.
-
-    SQL text, as it only restates the rules of the sample.
-    """
-    k, n, total = "o_orderkey", "c_nationkey", "cast(o_totalprice as decimal(18,2))"
+    """Document body of one order row that carries its customer's columns and its items."""
+    k, n, total = "o_orderkey", "c_nationkey", _money("o_totalprice")
     goods, payer = f"({k} % 5 <> 0)", f"({k} div 10 % 6)"
     no_recipient = f"({k} % 9 = 0)"
     person = "(o_custkey % 7 = 0)"
+    four = "'4'"
     start, end = f"(not {goods} and {k} % 3 <> 1)", f"(not {goods} and {k} % 3 <> 2)"
-    discount = f"if({k} % 4 = 2, cast(round({total} * 0.01, 2) as decimal(18,2)), null)"
+    discount = f"if({k} % 4 = 2, {_money(f'round({total} * 0.01, 2)')}, null)"
 
     def party(shift: int, when: str) -> str:
         return f"if({when}, {_fields(CNPJ=_cgc(f'({k} + {shift}) % 25'))}, null)"
@@ -374,37 +320,33 @@ def _body() -> str:
         CFOP=f"if({goods}, null, cast({k} % 40 + 5101 as string))",
         UFIni=f"if({start}, {_state(f'({k} + 1) % 25')}, null)",
         UFFim=f"if({end}, {_state(f'{k} % 25')}, null)",
-        cMunIni=f"if({start}, {_town(f'({k} + 1) % 25')}, null)",
-        cMunFim=f"if({end}, {_town(f'{k} % 25')}, null)",
+        cMunIni=f"if({start}, concat('35', {_town(f'({k} + 1) % 25')}), null)",
+        cMunFim=f"if({end}, concat('35', {_town(f'{k} % 25')}), null)",
         NFref=f"if({k} % 4 = 1, array("
         + _fields(refNFe=_access_key(f"{k} - 1"), refNF=_fields(serie=f"cast({k} % 3 + 1 as string)"))
         + "), null)",
         toma3=f"if(not {goods} and {payer} < 4, {_fields(toma=f'cast({payer} as string)')}, null)",
-        toma4=f"if(not {goods} and {payer} = 4, {_fields(toma=repr('4'), CNPJ=_cgc(f'({k} + 2) % 25'))}, null)",
+        toma4=f"if(not {goods} and {payer} = 4, {_fields(toma=four, CNPJ=_cgc(f'({k} + 2) % 25'))}, null)",
     )
     address = _fields(
         xLgr="concat('Rua cte ', c_mktsegment, ' ', c_name)",
         nro="cast(o_custkey as string)",
         xBairro=f"concat('Bairro ', {n}, ' ', c_mktsegment)",
         xMun=f"concat('Town ', {n})",
-        cMun=_town(n),
+        cMun=f"concat('35', {_town(n)})",
         UF=_state(n),
-        CEP=f"lpad(cast({n} * 1000 as string), 8, '0')",
+        CEP=_digits(f"{n} * 1000", 8),
         cPais="if(o_custkey % 5 <> 0, '1058', null)",
     )
-    company = (
-        "concat(lpad(cast((o_custkey + 1) % 100000000 as string), 8, '0'), '0001', "
-        "lpad(cast((o_custkey + 1) % 97 as string), 2, '0'))"
-    )
     issuer = _fields(
-        CNPJ=f"if({person}, null, {company})",
-        CPF=f"if({person}, lpad(cast(o_custkey + 1 as string), 11, '0'), null)",
-        IE=f"if(not {person} or o_custkey % 14 = 0, lpad(cast(o_custkey + 1 as string), 9, '0'), null)",
+        CNPJ=f"if({person}, null, {_company('o_custkey')})",
+        CPF=f"if({person}, {_digits('o_custkey + 1', 11)}, null)",
+        IE=f"if(not {person} or o_custkey % 14 = 0, {_digits('o_custkey + 1', 9)}, null)",
         xNome="c_name",
         enderEmit=address,
     )
-    totals = _fields(vProd=total, vNF=f"cast({total} - coalesce({discount}, 0) as decimal(18,2))", vDesc=discount)
-    service_tax = f"if({k} % 3 = 0, {_fields(vICMS='cast(1 as decimal(18,2))')}, null)"
+    totals = _fields(vProd=total, vNF=f"{_money(f'{total} - coalesce({discount}, 0)')}", vDesc=discount)
+    service_tax = f"if({k} % 3 = 0, {_fields(vICMS=_money('1'))}, null)"
     return _fields(
         ide=ide,
         emit=issuer,
@@ -434,7 +376,7 @@ def _nested(orders: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("o_orderkey")
     name = F.concat(F.lit("file:///landing/doc-"), k.cast("string"), F.lit(".xml"))
-    return table(spark, folder, "orders").select("*", k.alias("doc_key"), name.alias("filename"))
+    return over_all_cores(table(spark, folder, "orders")).select("*", k.alias("doc_key"), name.alias("filename"))
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,7 +405,8 @@ def _partial_item(code: Column) -> Column:
 
 def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Documents with all their items, at most `MAX_ITEMS` each: a longer order gives several documents."""
-    lines, _ = salted(goods_lines(spark, folder), ["doc_key"], ["item"], hot_rows)
+    rows = table(spark, folder, "lineitem").count()
+    lines, _ = salted(goods_lines(spark, folder), ["doc_key"], ["item"], hot_rows, rows)
     order = F.struct(F.col("item._nItem"), F.col("item.prod.NCM"), F.xxhash64("item"))
     place = F.row_number().over(Window.partitionBy("doc_key", "_salt").orderBy(order))
     numbered = lines.withColumn("_chunk", F.floor((place - 1) / MAX_ITEMS))
@@ -473,7 +416,7 @@ def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -
         ).alias("_items")
     )
     orders = _orders(spark, folder)
-    filled = salted_join(packed, orders, ["doc_key"], ["_salt", "_chunk"], hot_rows).drop("_salt", "_chunk")
+    filled = salted_join(packed, orders, ["doc_key"], ["_salt", "_chunk"], hot_rows, left_rows=rows).drop("_salt", "_chunk")
     with_lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey"))).select("l_orderkey").distinct()
     empty = orders.join(with_lines, orders["doc_key"] == with_lines["l_orderkey"], "left_anti")
     both = filled.unionByName(empty, allowMissingColumns=True)
@@ -492,8 +435,8 @@ def xml_texts(docs: DataFrame) -> DataFrame:
             out = F.regexp_replace(out, rf"(</?){goods_name}(?=[\s/>])", f"$1{name}")
         return out
 
-    family = F.when(_mod(k, 10) == 0, freight("cteProc", "CTe")).when(_mod(k, 10) == 5, freight("cteOSProc", "CTeOS"))
-    mark = F.when(_mod(k, 50) == 0, "\ufeff").otherwise("")
+    family = F.when(k % 10 == 0, freight("cteProc", "CTe")).when(k % 10 == 5, freight("cteOSProc", "CTeOS"))
+    mark = F.when(k % 50 == 0, "\ufeff").otherwise("")
     return docs.select("doc_key", "filename", F.concat(mark, family.otherwise(text)).alias("text"))
 
 
@@ -502,8 +445,8 @@ def bad_texts(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("o_orderkey")
     kinds = F.array_compact(
         F.array(
-            F.when(_mod(k, 97) == 0, F.struct(F.lit("other").alias("kind"), F.lit("<nfeProc><other/></nfeProc>").alias("text"))),
-            F.when(_mod(k, 193) == 0, F.struct(F.lit("cut").alias("kind"), F.lit("<nfeProc><NFe><infNFe><ide>").alias("text"))),
+            F.when(k % 97 == 0, F.struct(F.lit("other").alias("kind"), F.lit("<nfeProc><other/></nfeProc>").alias("text"))),
+            F.when(k % 193 == 0, F.struct(F.lit("cut").alias("kind"), F.lit("<nfeProc><NFe><infNFe><ide>").alias("text"))),
         )
     )
     rows = table(spark, folder, "orders").select(k.alias("doc_key"), F.explode(kinds).alias("b"))
