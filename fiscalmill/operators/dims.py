@@ -162,6 +162,10 @@ class Dimensions:
     products: Lookup
     overrides: Lookup
 
+    @property
+    def small(self) -> bool:
+        return all(getattr(self, f.name).small for f in fields(self))
+
     def staged(self) -> Dimensions:
         """Every table written once, side by side: each is small work beside the documents."""
         names = [f.name for f in fields(self)]

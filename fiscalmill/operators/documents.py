@@ -46,18 +46,18 @@ def receiving_establishment(docs: DataFrame, estab: Lookup, settings: Settings,
         take = {f"_{role.name}_emp": "COD_EMPRESA", f"_{role.name}_est": "COD_ESTAB"}
         if role.name == "dest":
             take |= {"_dest_uf": "UF", "_dest_mun": "COD_MUNICIPIO"}
-        out = left_lookup(out, own, {"CGC": role.tax_id}, take, spread, guard=role.applies)
+        out = left_lookup(out, own, {"CGC": role.tax_id}, take, spread, role.applies, docs)
     first = {c: F.coalesce(*[F.col(f"_{r.name}_{c}") for r in order]) for c in ("emp", "est")}
     out = out.withColumns({"COD_EMPRESA": first["emp"], "COD_ESTAB": first["est"]})
     return out.drop(*[f"_{r.name}_{c}" for r in order for c in ("emp", "est")])
 
 
-def issuer_partner(docs: DataFrame, dims: Dimensions, spread: list[str]) -> DataFrame:
+def issuer_partner(docs: DataFrame, dims: Dimensions, spread: list[str], base: DataFrame | None = None) -> DataFrame:
     """Adds COD_FIS_JUR (override, else master, else derived) and what the master knows of the issuer."""
     cnpj, cpf = E.doc("emit.CNPJ"), E.doc("emit.CPF")
-    out = left_lookup(docs, dims.overrides, {"CNPJ": cnpj}, {"_override": "cod_fis_jur"}, spread)
+    out = left_lookup(docs, dims.overrides, {"CNPJ": cnpj}, {"_override": "cod_fis_jur"}, spread, base=base)
     take = {"_x04_code": "COD_FIS_JUR", "_x04_kind": "IND_FIS_JUR", "_x04_uf": "UF", "_x04_mun": "COD_MUNICIPIO"}
-    out = left_lookup(out, dims.partners_by_tax_id, {"tax_key": E.tax_key(cnpj, cpf)}, take, spread)
+    out = left_lookup(out, dims.partners_by_tax_id, {"tax_key": E.tax_key(cnpj, cpf)}, take, spread, base=base)
     return out.withColumn(
         "COD_FIS_JUR", F.coalesce(F.col("_override"), F.col("_x04_code"), E.partner_code(cnpj, cpf))
     )
@@ -65,4 +65,5 @@ def issuer_partner(docs: DataFrame, dims: Dimensions, spread: list[str]) -> Data
 
 def resolve(docs: DataFrame, dims: Dimensions, settings: Settings, spread: list[str]) -> DataFrame:
     """Documents with establishment and issuer, the common input of the header and item tables."""
-    return issuer_partner(receiving_establishment(docs, dims.establishments, settings, spread), dims, spread)
+    placed = receiving_establishment(docs, dims.establishments, settings, spread)
+    return issuer_partner(placed, dims, spread, base=docs)

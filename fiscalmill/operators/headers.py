@@ -72,7 +72,7 @@ def unnumbered_headers(
 ) -> DataFrame:
     """Headers joined to item sums and to the partner of the summed items. `rows` is the number of documents."""
     spread = [*passed, "NUM_AUTENTIC_NFE", "SERIE_DOCFIS"]
-    out = document_columns(docs, settings, passed)
+    base = out = document_columns(docs, settings, passed)
 
     # Company, establishment and partner come from the sums, so a header without matching items has none.
     keys = [f"_doc_{k}" for k in SUM_KEYS if k != "NUM_DOCFIS"] + ["NUM_DOCFIS"]
@@ -81,9 +81,10 @@ def unnumbered_headers(
         *[F.col(k).alias(f"_doc_{k}") for k in SUM_KEYS if k != "NUM_DOCFIS"],
     )
     out = salted_join(out, named, keys, spread, hot_rows, left_rows=rows)
-    out = left_lookup(out, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, CFOP_COLUMNS, spread)
+    out = left_lookup(out, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, CFOP_COLUMNS, spread, base=base)
+    coded = base.withColumnRenamed("_doc_COD_FIS_JUR", "COD_FIS_JUR")
     partner = {"_param_uf": "UF", "_param_mun": "COD_MUNICIPIO"}
-    out = left_lookup(out, dims.partners_by_code, {"COD_FIS_JUR": F.col("COD_FIS_JUR")}, partner, spread)
+    out = left_lookup(out, dims.partners_by_code, {"COD_FIS_JUR": F.col("COD_FIS_JUR")}, partner, spread, base=coded)
 
     def sum_digits(name: str) -> Column:
         zero = F.lit(0).cast("decimal(1,0)")

@@ -72,8 +72,10 @@ def goods_items(lines: DataFrame, dims: Dimensions, settings: Settings, passed:
     prod, icms = item["prod"], item["imposto"]["ICMS"]
     spread = [*passed, "item"]
     out = left_lookup(lines, dims.cfop, {"cod_cfo": prod["CFOP"]}, CFOP_COLUMNS, spread)
-    out = left_lookup(out, dims.partners_by_code, {"COD_FIS_JUR": F.col("_override")}, {"_param_kind": "IND_FIS_JUR"}, spread)
-    out = left_lookup(out, dims.products, {"ncm_key": E.product_key(prod["NCM"])}, PRODUCT_COLUMNS, spread)
+    kind = {"_param_kind": "IND_FIS_JUR"}
+    out = left_lookup(out, dims.partners_by_code, {"COD_FIS_JUR": F.col("_override")}, kind, spread, base=lines)
+    key = {"ncm_key": E.product_key(prod["NCM"])}
+    out = left_lookup(out, dims.products, key, PRODUCT_COLUMNS, spread, base=lines)
 
     def amount(value: Column) -> Column:
         zero = F.lit(0).cast("decimal(1,0)")
@@ -128,7 +130,7 @@ def freight_items(docs: DataFrame, dims: Dimensions, settings: Settings, passed:
     )
     spread = [*passed, "NUM_DOCFIS", "COD_FIS_JUR"]
     out = left_lookup(freight, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, CFOP_COLUMNS, spread)
-    out = left_lookup(out, dims.products, {"ncm_key": F.col("_product_key")}, PRODUCT_COLUMNS, spread)
+    out = left_lookup(out, dims.products, {"ncm_key": F.col("_product_key")}, PRODUCT_COLUMNS, spread, base=freight)
     out = out.withColumns(_mapped(settings) | {"COD_NBM": F.col("_ncm")})
     return _finish(out, settings.constants["freight"], settings, passed)
 

@@ -63,15 +63,21 @@ def _with_parts(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def salted(
-    df: DataFrame, keys: list[str], spread: list[str], hot_rows: int = HOT_ROWS, rows: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    spread: list[str],
+    hot_rows: int = HOT_ROWS,
+    rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows with a _salt column that splits hot keys evenly by the hash of `spread`, and the hot keys.
 
+    The keys are counted over `counted`, a cheaper frame with the same key columns, else over the rows themselves.
     When `rows`, the known number of rows, is itself below the limit, no key can exceed it and nothing is split.
     """
     if rows is not None and rows <= hot_rows:
         return df.withColumn("_salt", F.lit(0)), None
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df if counted is None else counted, keys, hot_rows)
     salt = F.pmod(F.xxhash64(*spread), F.col("_parts").cast("bigint")).cast("int")
     return _with_parts(df, hot, keys).withColumn("_salt", salt).drop("_parts"), hot
 
@@ -84,12 +90,13 @@ def salted_join(
     hot_rows: int = HOT_ROWS,
     how: str = "left",
     left_rows: int | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left or inner join on equally named keys in which no key is wholly in one task.
 
     Right rows of a hot key are repeated once per part; all other rows go through once.
     """
-    spread_left, hot = salted(left, keys, spread, hot_rows, left_rows)
+    spread_left, hot = salted(left, keys, spread, hot_rows, left_rows, counted)
     if hot is None:
         return left.join(right, keys, how)
     part = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_salt")
@@ -104,6 +111,7 @@ def left_lookup(
     take: dict[str, str],
     spread: list[str],
     guard: Column | None = None,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Left join that adds columns of a lookup table.
 
@@ -112,18 +120,18 @@ def left_lookup(
     spread  columns of `left` that tell its rows apart, used only to split hot keys
     guard   condition over `left` under which a row may match at all; the key is nulled otherwise, which keeps
             the join a pure equi-join while unmatched rows stay in the result
+    base    frame that `left` grew from and over which the key expressions hold as well; hot keys are counted
+            there, so that a chain of lookups does not repeat itself in every count
     """
     names = {c: f"_key_{c}" for c in on}
-    keyed = left
-    for c, expression in on.items():
-        key = expression if guard is None else F.when(guard, expression)
-        keyed = keyed.withColumn(names[c], key)
+    keys = {names[c]: e if guard is None else F.when(guard, e) for c, e in on.items()}
+    keyed = left.withColumns(keys)
     right = lookup.frame.select(
         *[F.col(c).alias(names[c]) for c in on], *[F.col(c).alias(new) for new, c in take.items()]
     )
-    keys = list(names.values())
     if lookup.small:
-        joined = keyed.join(F.broadcast(right), keys, "left")
+        joined = keyed.join(F.broadcast(right), list(keys), "left")
     else:
-        joined = salted_join(keyed, right, keys, spread, lookup.hot_rows)
+        counted = (left if base is None else base).select(*[e.alias(k) for k, e in keys.items()])
+        joined = salted_join(keyed, right, list(keys), spread, lookup.hot_rows, counted=counted)
     return joined.drop(*keys)

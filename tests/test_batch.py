@@ -10,6 +10,7 @@ from fiscalmill.plans import batch
 from fiscalmill.plans.queries import QUERIES, World
 from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT, PARTNER_LAYOUT
 from fiscalmill.sources import sample, sinks
+from fiscalmill.sources.staging import stage
 from fiscalmill.streaming import intake
 from tests.conftest import rows
 
@@ -86,12 +87,13 @@ def test_large_lookups_and_hot_keys_change_nothing(spark, folder):
     w = World(spark, folder)
     small = dimensions(w.master, w.settings)
     large = Dimensions(**{n: Lookup(getattr(small, n).frame, None, 0, 20) for n in small.__dataclass_fields__})
-    docs = resolve(w.docs, large, w.settings, ["doc_key"])
+    docs = resolve(stage(w.docs, "parsed"), large, w.settings, ["doc_key"])
+    docs = stage(docs, "documents")
     goods = docs.where("NFe.infNFe.ide.nNF is not null")
     lines = sample.join_lines(I.lines_of(goods, ["doc_key"]), w.raw_lines, hot_rows=20)
-    items = I.item_table(docs, lines, large, w.settings, ["doc_key"])
+    items = stage(I.item_table(docs, stage(lines, "lines"), large, w.settings, ["doc_key"]), "items")
     assert rows(items.select(*ITEM_LAYOUT)) == rows(QUERIES["items_union"](spark, folder))
-    sums = I.item_sums(w.items)
+    sums = I.item_sums(items)
     headers = H.unnumbered_headers(docs, sums, large, w.settings, ["doc_key"], hot_rows=20)
     assert rows(headers) == rows(w.open_headers)
 
