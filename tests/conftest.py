@@ -23,8 +23,6 @@ def spark(tmp_path_factory):
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
     yield session
     session.stop()
 

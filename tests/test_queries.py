@@ -52,7 +52,10 @@ def test_every_query_but_the_schema_has_sql():
 
 
 def test_header_sums_equal_item_sums(spark, folder):
-    """Sums of all matched headers are the sums of their items; nothing is lost or doubled."""
+    """Sums of all matched headers are the sums of their items; nothing is lost or doubled.
+
+    Persons' notes are left out: their headers carry zeros while their freight items keep the price.
+    """
     from pyspark.sql import functions as F
 
     from fiscalmill.plans.queries import World
@@ -60,5 +63,5 @@ def test_header_sums_equal_item_sums(spark, folder):
     w = World(spark, folder)
     regular = w.open_headers.where(F.col("IND_NF_REG_ESPECIAL").isNull() & F.col("COD_ESTAB").isNotNull())
     headers = regular.agg(F.sum(F.col("BASE_OUTR_IPI").cast("decimal(20,0)")) / 100).first()[0]
-    items = w.items.where(F.col("COD_ESTAB").isNotNull()).agg(F.sum("_base_amount")).first()[0]
+    items = w.items.join(regular.select("doc_key"), "doc_key", "left_semi").agg(F.sum("_base_amount")).first()[0]
     assert float(headers) == float(items)

@@ -13,7 +13,7 @@ GOODS = (
     "</infNFe></NFe></nfeProc>"
 )
 FREIGHT = (
-    "﻿<cteOSProc versao='3.00'><CTeOS><infCte><ide><nCT>8</nCT><mod>67</mod></ide></infCte></CTeOS>"
+    "\ufeff<cteOSProc versao='3.00'><CTeOS><infCte><ide><nCT>8</nCT><mod>67</mod></ide></infCte></CTeOS>"
     "<protCTe><infProt><chCTe>35</chCTe></infProt></protCTe></cteOSProc>"
 )
 
@@ -175,5 +175,30 @@ def test_cluster_needs_a_shared_folder():
         class sparkContext:
             master = "yarn"
 
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
     with pytest.raises(ValueError):
         staging.shared_folder(Cluster())
+
+
+def test_local_runs_without_a_folder_get_one():
+    class Local:
+        conf = type("Conf", (), {"get": lambda *_: None})()
+
+        class sparkContext:
+            master = "local[2]"
+            folder = None
+
+            @classmethod
+            def getCheckpointDir(cls):
+                return cls.folder
+
+            @classmethod
+            def setCheckpointDir(cls, folder):
+                cls.folder = folder
+
+    session = Local()
+    first = staging.shared_folder(session)
+    assert first and staging.shared_folder(session) == first
