@@ -48,7 +48,7 @@ def test_query_equals_its_sql(spark, folder, database, name):
 
 
 def test_every_query_but_the_schema_has_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"schema_merge"}
+    assert set(entry.QUERIES) - set(entry.oracle_sql()) == {"schema_merge"}
 
 
 def test_header_sums_equal_item_sums(spark, folder):
