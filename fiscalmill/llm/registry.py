@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fiscalmill.llm import quality_rules
+from fiscalmill.llm import chat, mixing, quality_rules
 from fiscalmill.llm.common import table
 
 
@@ -12,10 +12,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
+    "op8_mix_sources": op8_mix_sources,
+    "op10_format_chats": op10_format_chats,
     "op9_quality_rules": op9_quality_rules,
 }
 
 LLM_ORACLES = {
+    "op8_mix_sources": mixing.ORACLE,
+    "op10_format_chats": chat.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
 }
