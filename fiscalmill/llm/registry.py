@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fiscalmill.llm import chat, mixing, quality_rules
+from fiscalmill.llm import bit_sliced, chat, mixing, quality_rules
 from fiscalmill.llm.common import table
 
 
@@ -12,6 +13,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = bit_sliced.quantised(table(spark, sf_dir, "embeddings"))
+    return bit_sliced.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_documents(table(spark, sf_dir, "documents"))
 
@@ -21,12 +27,14 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op5_bit_sliced_top_k": op5_bit_sliced_top_k,
     "op8_mix_sources": op8_mix_sources,
     "op10_format_chats": op10_format_chats,
     "op9_quality_rules": op9_quality_rules,
 }
 
 LLM_ORACLES = {
+    "op5_bit_sliced_top_k": bit_sliced.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
     "op10_format_chats": chat.ORACLE,
     "op9_quality_rules": quality_rules.ORACLE,
