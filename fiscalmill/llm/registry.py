@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import bit_sliced, chat, mixing, quality_classifier, quality_rules
+from fiscalmill.llm import bit_sliced, chat, html_text, mixing, quality_classifier, quality_rules
 from fiscalmill.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +35,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op3_html_text": op3_html_text,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_bit_sliced_top_k": op5_bit_sliced_top_k,
     "op8_mix_sources": op8_mix_sources,
