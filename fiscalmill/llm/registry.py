@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import bit_sliced, chat, html_text, mixing, quality_classifier, quality_rules
+from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules
 from fiscalmill.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"), near_dedup.CONTRACT)
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -35,6 +39,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_html_text": op3_html_text,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_bit_sliced_top_k": op5_bit_sliced_top_k,
