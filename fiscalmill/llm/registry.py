@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules
+from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules, suffix_index
 from fiscalmill.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_index.repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_documents(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op6_repeated_bytes": op6_repeated_bytes,
     "op1_near_dedup": op1_near_dedup,
     "op3_html_text": op3_html_text,
     "op4_quality_classifier": op4_quality_classifier,

@@ -10,7 +10,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 """Bytes of text that are handled at once. A longer text makes a batch of its own."""
 
 IS_SPACE = np.zeros(256, bool)
