@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules, suffix_index
+from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules, suffix_index, suffix_trees
 from fiscalmill.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_index.repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_trees.repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_documents(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op7_repeated_words": op7_repeated_words,
     "op6_repeated_bytes": op6_repeated_bytes,
     "op1_near_dedup": op1_near_dedup,
     "op3_html_text": op3_html_text,
@@ -54,6 +59,7 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES = {
+    "op7_repeated_words": suffix_trees.ORACLE,
     "op5_bit_sliced_top_k": bit_sliced.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
     "op10_format_chats": chat.ORACLE,

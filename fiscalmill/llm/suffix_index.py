@@ -223,8 +223,8 @@ def _repeated_windows(hot: DataFrame) -> DataFrame:
     return found.select("h", "ctx", F.array(F.col("at"), F.col("at") + LENGTH).alias("spans"))
 
 
-def _marks(parts: np.ndarray, size: int) -> list[tuple[int, int]]:
-    """Disjoint runs of covered bytes, from a flat list of starts and ends."""
+def runs_covered(parts: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Disjoint runs of covered places, from a flat list of starts and ends."""
     if not len(parts):
         return []
     edges = np.zeros(size + 1, np.int64)
@@ -242,7 +242,7 @@ def spans_of(text: bytes, marks: list | None) -> list[tuple[int, int]]:
         if m["tag"] == tag:
             start, end = context(np.int64(m["pos"]), np.int64(len(text)), SHAPE)
             flat.append(np.array([start, end]) if m["spans"] is None else np.asarray(m["spans"], np.int64) + start)
-    return _marks(np.concatenate(flat) if flat else np.zeros(0, np.int64), len(text))
+    return runs_covered(np.concatenate(flat) if flat else np.zeros(0, np.int64), len(text))
 
 
 def rest_of(text: bytes, runs: list[tuple[int, int]]) -> bytes:
