@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, quality_classifier, quality_rules, suffix_index, suffix_trees
+from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
 from fiscalmill.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"), near_dedup.CONTRACT)
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segmentations(table(spark, sf_dir, "documents"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_sentence_pieces": op2_sentence_pieces,
     "op7_repeated_words": op7_repeated_words,
     "op6_repeated_bytes": op6_repeated_bytes,
     "op1_near_dedup": op1_near_dedup,
