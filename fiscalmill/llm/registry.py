@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
 from fiscalmill.llm.common import table
 
@@ -51,6 +52,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op2_sentence_pieces": op2_sentence_pieces,
     "op7_repeated_words": op7_repeated_words,
     "op6_repeated_bytes": op6_repeated_bytes,
