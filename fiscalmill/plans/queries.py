@@ -19,7 +19,7 @@ from fiscalmill.operators.lookup import left_lookup
 from fiscalmill.operators.partners import new_partners
 from fiscalmill.plans import batch, variants
 from fiscalmill.session import tune
-from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT
+from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT, PARTNER_LAYOUT
 from fiscalmill.sources import sample, schema, sinks, staging, xml
 from fiscalmill.streaming import intake
 
@@ -88,6 +88,11 @@ class World:
     def items(self) -> DataFrame:
         return I.item_table(self.resolved, self.lines, self.staged_dims, self.settings, KEY)
 
+    def with_staged_items(self) -> World:
+        """For queries that read the items more than once: they are made once and written."""
+        self.items = staging.stage(self.items, "items")
+        return self
+
     @cached_property
     def sums(self) -> DataFrame:
         return I.item_sums(self.items)
@@ -473,24 +478,83 @@ def item_error(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def run_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    w = World(spark, folder)
+    w = World(spark, folder).with_staged_items()
     return V.run_metrics(w.open_headers, w.items, new_partners(w.resolved, w.staged_dims, w.settings), w.settings)
 
 
 @query
 def orphan_items(spark: SparkSession, folder: str) -> DataFrame:
-    w = World(spark, folder)
+    w = World(spark, folder).with_staged_items()
     return V.orphan_items(w.open_headers, w.items, w.settings)
 
 
+def published(rows: DataFrame, layout: list[str]) -> DataFrame:
+    """Rows as a target has them after publishing."""
+    target = sinks.FileTarget(staging.new_folder(rows.sparkSession, "published"))
+    sinks.publish(rows, layout, target, run_id=RUN)
+    return target.read(rows.sparkSession).where(F.col(sinks.RUN_ID) == RUN).select(*layout)
+
+
 @query
 def publish_by_name(spark: SparkSession, folder: str) -> DataFrame:
     """Valid headers published into the target by column name, and read back."""
     w = World(spark, folder)
     good, _ = V.header_split(w.headers.select(*HEADER_LAYOUT), w.settings)
-    target = sinks.FileTarget(staging.new_folder(spark, "published"))
-    sinks.publish(good, HEADER_LAYOUT, target, run_id=RUN)
-    return target.read(spark).where(F.col(sinks.RUN_ID) == RUN).select(*HEADER_LAYOUT)
+    return published(good, HEADER_LAYOUT)
+
+
+@query
+def publish_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid items published into the target, and read back."""
+    w = World(spark, folder)
+    good, _ = V.item_split(w.items.select(*ITEM_LAYOUT), w.settings)
+    return published(good, ITEM_LAYOUT)
+
+
+@query
+def publish_partners(spark: SparkSession, folder: str) -> DataFrame:
+    """New partners published into the target, and read back."""
+    w = World(spark, folder)
+    return published(new_partners(w.docs, w.dims, w.settings), PARTNER_LAYOUT)
+
+
+@query
+def counter_seed(spark: SparkSession, folder: str) -> DataFrame:
+    """Counter for a first run, from the headers that were published before."""
+    return N.seed_counter(publish_by_name(spark, folder))
+
+
+@query
+def header_error_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """Faulty headers written as CSV with a header line, and read back."""
+    w = World(spark, folder)
+    _, bad = V.header_split(w.headers.select(*HEADER_LAYOUT), w.settings)
+    return sinks.csv_round_trip(bad, staging.new_folder(spark, "header-errors"))
+
+
+def batch_outputs(spark: SparkSession, folder: str) -> batch.Outputs:
+    """A whole run from text: documents of both vocabularies and broken ones, one a line, to the output tables."""
+    w = World(spark, folder)
+    texts = w.texts().unionByName(sample.bad_texts(spark, folder))
+    landing = staging.new_folder(spark, "landing")
+    texts.select(F.regexp_replace("text", "\n *", "").alias("value")).write.text(landing)
+    found = xml.split_documents(xml.read_text_documents(spark, [landing], whole_files=False))
+    outputs = batch.build(xml.parse_documents(found), w.master, w.settings, sample.COUNTER)
+    if outputs is None:
+        raise ValueError("no documents")
+    return outputs
+
+
+@query
+def batch_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid headers of a run from text."""
+    return V.header_split(batch_outputs(spark, folder).headers, sample.SETTINGS)[0].select(*HEADER_LAYOUT)
+
+
+@query
+def batch_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid items of a run from text."""
+    return V.item_split(batch_outputs(spark, folder).items, sample.SETTINGS)[0].select(*ITEM_LAYOUT)
 
 
 @query

@@ -404,19 +404,31 @@ def _partial_item(code: Column) -> Column:
 
 
 def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Documents with all their items, at most `MAX_ITEMS` each: a longer order gives several documents."""
+    """Documents with all their items, at most `MAX_ITEMS` each: a longer order gives several documents.
+
+    An order of n lines gives greatest(1, ceil(n / MAX_ITEMS)) documents, whether its lines are salted or not: a line's
+    place counts the lines of the salts before its own.
+    """
     rows = table(spark, folder, "lineitem").count()
-    lines, _ = salted(goods_lines(spark, folder), ["doc_key"], ["item"], hot_rows, rows)
+    lines, hot = salted(goods_lines(spark, folder), ["doc_key"], ["item"], hot_rows, rows)
     order = F.struct(F.col("item._nItem"), F.col("item.prod.NCM"), F.xxhash64("item"))
     place = F.row_number().over(Window.partitionBy("doc_key", "_salt").orderBy(order))
-    numbered = lines.withColumn("_chunk", F.floor((place - 1) / MAX_ITEMS))
-    packed = numbered.groupBy("doc_key", "_salt", "_chunk").agg(
+    placed = lines.withColumn("_place", place)
+    if hot is not None:
+        sizes = lines.where("_salt > 0").select("doc_key").distinct()
+        counts = lines.join(sizes, "doc_key", "left_semi").groupBy("doc_key", "_salt").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy("doc_key").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+        before = counts.select("doc_key", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        placed = placed.join(before, ["doc_key", "_salt"], "left")
+        placed = placed.withColumn("_place", F.col("_place") + F.coalesce("_before", F.lit(0)))
+    numbered = placed.withColumn("_chunk", F.floor((F.col("_place") - 1) / MAX_ITEMS))
+    packed = numbered.groupBy("doc_key", "_chunk").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(order.alias("o"), "item"))), lambda e: e["item"]
         ).alias("_items")
     )
     orders = _orders(spark, folder)
-    filled = salted_join(packed, orders, ["doc_key"], ["_salt", "_chunk"], hot_rows, left_rows=rows).drop("_salt", "_chunk")
+    filled = salted_join(packed, orders, ["doc_key"], ["_chunk"], hot_rows, left_rows=rows).drop("_chunk")
     with_lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey"))).select("l_orderkey").distinct()
     empty = orders.join(with_lines, orders["doc_key"] == with_lines["l_orderkey"], "left_anti")
     both = filled.unionByName(empty, allowMissingColumns=True)

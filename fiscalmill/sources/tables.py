@@ -34,7 +34,3 @@ def read_jdbc(
         .option("numPartitions", str(partitions))
         .load()
     )
-
-
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -5,6 +5,8 @@ Written from the rules of the sample documents, without using the library.
 
 from __future__ import annotations
 
+from fiscalmill.sources.sample import MAX_ITEMS
+
 
 def fp(value: str, decimals: int, width: int) -> str:
     return f"lpad(replace(cast(cast({value} as decimal(38,{decimals})) as varchar), '.', ''), {width}, '0')"
@@ -353,6 +355,13 @@ def _counts(name: str, ok: str, source: str) -> str:
     )
 
 
+ITEM_VALID = sql(UP_TO_ITEM, f"select {ITEM_NAMES} from item where {ITEM_OK}")
+NEW_PARTNERS = sql([DOC, PARTNER, NEW], "select * from newp")
+HEADER_ERROR = sql(UP_TO_HEADER, f"select {HEADER_NAMES}, {HEADER_REASON} from header where not ({HEADER_OK})")
+PARTS = f""" left join (select l_orderkey, count(*) as goods_lines from lineitem where l_orderkey % 5 <> 0 group by all) on l_orderkey = k,
+    generate_series(1, greatest(1, cast(ceil(coalesce(goods_lines, 0) / {MAX_ITEMS}.0) as bigint))) as part"""
+"""An order of more than MAX_ITEMS goods lines gives several documents."""
+
 ORACLES: dict[str, str] = {
     "xml_scan_items": sql(
         [LINE],
@@ -367,11 +376,11 @@ ORACLES: dict[str, str] = {
     "tag_unify": sql(
         [DOC],
         "select k as doc_key, case when goods then 'NFE' when model = '57' then 'YD' else 'YJ' end as COD_DOCTO, "
-        "chave as access_key, 'Rua cte ' || c_mktsegment || ' ' || c_name as street, vtprest as vTPrest from doc",
+        "chave as access_key, 'Rua cte ' || c_mktsegment || ' ' || c_name as street, vtprest as vTPrest from doc" + PARTS,
     ),
     "new_files_only": sql(
         [DOC],
-        "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc group by all",
+        "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc" + PARTS + " group by all",
     ),
     "doc_class": sql(
         [DOC],
@@ -460,10 +469,10 @@ ORACLES: dict[str, str] = {
     "control_number": "select o_orderkey as doc_key, 1000 + row_number() over (order by o_orderkey) as NUM_CONTROLE_DOCTO from orders",
     "counter_next": "select 1000 + count(*) as NUM_DOCTO from orders",
     "header_table": sql(UP_TO_HEADER, f"select {HEADER_NAMES} from header"),
-    "new_partners_table": sql([DOC, PARTNER, NEW], "select * from newp"),
+    "new_partners_table": NEW_PARTNERS,
     "header_valid": HEADER_VALID,
-    "header_error": sql(UP_TO_HEADER, f"select {HEADER_NAMES}, {HEADER_REASON} from header where not ({HEADER_OK})"),
-    "item_valid": sql(UP_TO_ITEM, f"select {ITEM_NAMES} from item where {ITEM_OK}"),
+    "header_error": HEADER_ERROR,
+    "item_valid": ITEM_VALID,
     "item_error": ITEM_ERROR,
     "run_metrics": sql(
         [*UP_TO_HEADER, NEW],
@@ -481,6 +490,12 @@ ORACLES: dict[str, str] = {
         group by all""",
     ),
     "publish_by_name": HEADER_VALID,
+    "publish_items": ITEM_VALID,
+    "publish_partners": NEW_PARTNERS,
+    "batch_headers": HEADER_VALID,
+    "batch_items": ITEM_VALID,
+    "header_error_csv": HEADER_ERROR,
+    "counter_seed": f"select coalesce(max(NUM_CONTROLE_DOCTO), 0) as NUM_DOCTO from ({HEADER_VALID})",
     "error_csv": ITEM_ERROR,
     "preview": sql([DOC], "select k as doc_key, model from doc order by k limit 10"),
 }

@@ -64,7 +64,8 @@ def test_counts_and_counter(spark, counts, targets):
     assert headers["valid"] + headers["error"] == headers["total"]
     assert items["valid"] + items["error"] == items["total"]
     assert targets.headers.read(spark).count() == headers["valid"]
-    assert sinks.read_counter(spark, targets.counter_path) == sample.COUNTER + headers["total"]
+    assert sinks.read_counter(spark, targets.counter_path, "next") == sample.COUNTER + headers["total"]
+    assert sinks.read_counter(spark, targets.counter_path, "20240131") == sample.COUNTER
 
 
 def test_error_files(spark, counts, targets):

@@ -6,25 +6,7 @@ import pytest
 import __spark_entry__ as entry
 
 TABLES = "region nation customer supplier part orders lineitem".split()
-CHECKED = [
-    "xml_scan_items",
-    "tag_unify",
-    "new_files_only",
-    "role_resolution",
-    "product_map",
-    "item_sums_3keys",
-    "item_tax_by_series",
-    "header_items_inner",
-    "control_number",
-    "counter_next",
-    "header_table",
-    "header_error",
-    "item_error",
-    "orphan_items",
-    "run_metrics",
-    "error_csv",
-    "param_load",
-]
+CHECKED = sorted(set(entry.QUERIES) & set(entry.oracle_queries.ORACLES))
 
 
 @pytest.fixture(scope="module")

@@ -92,6 +92,8 @@ def test_long_orders_become_several_documents(spark, folder):
         assert split.agg(F.max(F.size("NFe.infNFe.det"))).first()[0] == 2
         again = split.select("doc_key", F.explode("NFe.infNFe.det").alias("i")).groupBy("doc_key").count()
         assert rows(items) == rows(again)
+        salted = sample.full_documents(spark, folder, hot_rows=3)
+        assert rows(split.groupBy("doc_key").count()) == rows(salted.groupBy("doc_key").count())
     finally:
         sample.MAX_ITEMS = limit
 
@@ -153,10 +155,43 @@ def test_csv_keeps_missing_and_empty_apart(spark, tmp_path):
     assert rows(sinks.csv_round_trip(df, str(tmp_path / "c"))) == rows(df)
 
 
-def test_counter_file(spark, tmp_path):
-    path = str(tmp_path / "n")
-    sinks.save_counter(spark.createDataFrame([(17,)], "NUM_DOCTO long"), path)
-    assert sinks.read_counter(spark, path) == 17
+def test_run_ids_stay_strings_and_an_empty_rerun_leaves_nothing(spark, tmp_path):
+    target = sinks.FileTarget(str(tmp_path / "t"))
+    df = spark.createDataFrame([("x",)], "A string")
+    target.write(df.limit(0), "007")
+    assert target.read(spark).count() == 0
+    target.write(df, "007")
+    target.write(df, "8")
+    assert rows(target.read(spark)) == [("x", "007"), ("x", "8")]
+    target.write(df.limit(0), "007")
+    assert rows(target.read(spark)) == [("x", "8")]
+
+
+def test_error_list_is_replaced(spark, tmp_path):
+    df = spark.createDataFrame([("x",)], "A string")
+    for rows_now in (df, df, df.limit(0)):
+        sinks.write_csv(rows_now, str(tmp_path / "e"))
+        assert sinks.read_csv(spark, str(tmp_path / "e"), df).count() == rows_now.count()
+
+
+def test_counter_by_run(spark, tmp_path):
+    """A first run starts at the seed, a new one after all others, a repeated one where it started before."""
+    path, one = str(tmp_path / "n"), spark.createDataFrame([(17,)], "NUM_DOCTO long")
+    assert sinks.read_counter(spark, path, "007", seed=5) == 5
+    sinks.save_counter(one, path, "007", 5)
+    assert sinks.read_counter(spark, path, "007") == 5
+    assert sinks.read_counter(spark, path, "8") == 17
+    sinks.save_counter(one.selectExpr("NUM_DOCTO + 3 as NUM_DOCTO"), path, "8", 17)
+    sinks.save_counter(one, path, "007", 5)
+    assert sinks.read_counter(spark, path, "9") == 20
+
+
+def test_a_failed_counter_write_loses_nothing(spark, tmp_path):
+    path, one = str(tmp_path / "n"), spark.createDataFrame([(17,)], "NUM_DOCTO long")
+    sinks.save_counter(one, path, "1", 5)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|divi"):
+        sinks.save_counter(one.selectExpr("NUM_DOCTO div 0 as NUM_DOCTO"), path, "2", 17)
+    assert sinks.read_counter(spark, path, "2") == 17
 
 
 def test_partitioned_database_reads_need_bounds(spark):
