@@ -33,6 +33,7 @@ class Settings:
     param_framework: str = "XML_INTAKE"
     """Name of the parameter group that holds the three mappings."""
 
+    # Names of the mappings in the parameter table, and product keys of freight documents.
     cfop_param: str = "CFOP NatOp"
     product_param: str = "Produto"
     override_param: str = "CNPJ"

@@ -307,6 +307,7 @@ def sql(ctes: list[str], select: str) -> str:
     return "with " + ",".join(ctes) + "\n" + select
 
 
+# Column names of the layout, in its order.
 HEADER_NAMES = """
 COD_EMPRESA, COD_ESTAB, MOVTO_E_S, NORM_DEV, COD_DOCTO, IDENT_FIS_JUR, COD_FIS_JUR, NUM_DOCFIS, SERIE_DOCFIS,
 DATA_EMISSAO, COD_CLASS_DOC_FIS, COD_MODELO, COD_CFO, NUM_DOCFIS_REF, SERIE_DOCFIS_REF, DATA_SAIDA_REC,
@@ -315,6 +316,7 @@ BASE_ISEN_ICMS, BASE_OUTR_ICMS, BASE_OUTR_IPI, COD_MODELO_COTEPE, IND_NF_REG_ESP
 VLR_ABAT_NTRIBUTADO, IND_TP_FRETE, UF_ORIG_DEST, UF_DESTINO, COD_MUNICIPIO_ORIG, COD_MUNICIPIO_DEST,
 COD_NATUREZA_OP"""
 
+# Column names of the layout, in its order.
 ITEM_NAMES = """
 COD_EMPRESA, COD_ESTAB, DATA_FISCAL, MOVTO_E_S, NORM_DEV, COD_DOCTO, IND_FIS_JUR, COD_FIS_JUR, NUM_DOCFIS,
 SERIE_DOCFIS, IND_PRODUTO, COD_PRODUTO, NUM_ITEM, COD_CFO, NUM_DOCFIS_REF, SERIE_DOCFIS_REF, COD_NATUREZA_OP,
