@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,3 +32,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that further columns of the input cannot clash with an operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A query whose session sends this library's modules to its executors, once, wherever the driver was started."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        if not getattr(context, "_fiscalmill_shipped", False):
+            package = Path(__file__).parents[1]
+            archive = Path(tempfile.mkdtemp(prefix="fiscalmill-code-")) / "fiscalmill_code.zip"
+            with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+                for file in sorted(package.rglob("*.py")):
+                    z.write(file, file.relative_to(package.parent))
+            context.addPyFile(str(archive))
+            context._fiscalmill_shipped = True
+        return query(spark, sf_dir)
+
+    return run

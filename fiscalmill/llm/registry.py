@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
-from fiscalmill.llm.common import table
+from fiscalmill.llm.common import shipped, table
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,8 @@ LLM_QUERIES = {
     "op9_quality_rules": op9_quality_rules,
 }
 
+LLM_QUERIES = {name: shipped(query) for name, query in LLM_QUERIES.items()}
+
 LLM_ORACLES = {
     "op7_repeated_words": suffix_trees.ORACLE,
     "op5_bit_sliced_top_k": bit_sliced.ORACLE,
