@@ -224,9 +224,15 @@ def _star_round(edges: DataFrame, labels: DataFrame, candidates: DataFrame, trie
 
 
 def _rest(edges: DataFrame, labels: DataFrame, candidates: DataFrame, like: Likeness) -> DataFrame:
-    """Links between different components of one family, compared in blocks."""
-    families = components(edges.select(F.col("member").alias("a"), F.col("leader").alias("b")))
-    placed = labels.join(families, labels["class"] == families["id"], "left").select("class", "component", F.coalesce("root", "class").alias("family"))
+    """Links between different components of one family, compared in blocks.
+
+    Families are found on the graph of the verified components, in which a large group of copies is a few vertices.
+    """
+    of = lambda c, name: labels.select(F.col("class").alias(c), F.col("component").alias(name))
+    crossing = edges.join(of("member", "a"), "member").join(of("leader", "b"), "leader").where("a <> b").select("a", "b")
+    families = components(crossing)
+    placed = labels.join(families, labels["component"] == families["id"], "left")
+    placed = placed.select("class", "component", F.coalesce("root", "component").alias("family"))
     sizes = placed.groupBy("family", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
     open_families = largest.where("parts > 1").drop("parts")
