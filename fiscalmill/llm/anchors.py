@@ -86,11 +86,12 @@ def anchors_in(symbols: Symbols, shape: Shape) -> tuple[np.ndarray, np.ndarray,
     none = np.zeros(0, np.int64)
     if n < shape.length:
         return none, none, np.zeros(0, np.uint64)
-    starts = np.arange(n - shape.anchor + 1)
-    grams = symbols.hash(starts, starts + shape.anchor) | np.uint64(1)
+    grams = symbols.summed[shape.anchor :] - symbols.summed[: -shape.anchor]
+    grams *= tokens.powers(tokens.INVERSE, len(grams))
+    grams = tokens.mix(grams + np.uint64(shape.anchor)) | np.uint64(1)
     least = sliding(grams, shape.window, np.minimum)
-    of = np.searchsorted(symbols.offsets, np.arange(len(least)), "right") - 1
-    least = np.where(np.arange(len(least)) + shape.length <= symbols.offsets[of + 1], least, np.uint64(0))
+    for end in symbols.offsets[1:].tolist():  # windows that run over the end of a text
+        least[max(0, end - shape.length + 1) : end] = 0
     padded = np.concatenate([np.zeros(shape.window - 1, np.uint64), least, np.zeros(shape.window - 1, np.uint64)])
     chosen = np.flatnonzero(sliding(padded, shape.window, np.maximum) == grams)
     text = np.searchsorted(symbols.offsets, chosen, "right") - 1
@@ -149,7 +150,7 @@ def repeated_anchors(docs: DataFrame, shape: Shape) -> DataFrame:
     return counted.groupBy("key").agg(F.collect_set("pos").alias("places"))
 
 
-OCCURRENCES = "h long, ctx long, parts array<long>, key long, tag int, pos int"
+OCCURRENCES = "h long, ctx long, before long, after long, key long, tag int, pos int"
 
 
 def tag_of(text: bytes) -> int:
@@ -162,8 +163,9 @@ def context(pos: np.ndarray, size: np.ndarray, shape: Shape) -> tuple[np.ndarray
     return np.maximum(0, pos - shape.margin), np.minimum(size, pos + shape.length)
 
 
-def _occurrence_rows(shape: Shape, splits: list[tuple[int, int]]) -> Callable:
-    """Contexts of the repeated anchors. parts: hashes of (anchor with so many symbols before and after it), 0 if cut."""
+def _occurrence_rows(shape: Shape) -> Callable:
+    """Contexts of the repeated anchors, and hashes of the anchor with half a margin before and after it (0 if cut)."""
+    half = shape.margin // 2
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -183,22 +185,20 @@ def _occurrence_rows(shape: Shape, splits: list[tuple[int, int]]) -> Callable:
                 h = symbols.hash(base + pos, base + pos + shape.anchor)
                 ctx = tokens.mix(symbols.hash(base + start, base + end) + (pos - start).astype(np.uint64))
                 pieces = []
-                for before, after in splits:
-                    whole = (pos >= before) & (pos + shape.anchor + after <= size)
-                    a, b = np.maximum(0, pos - before), np.minimum(size, pos + shape.anchor + after)
-                    piece = tokens.mix(symbols.hash(base + a, base + b) + np.uint64(before + 1))
+                for low, high in ((pos - half, pos + shape.anchor), (pos, pos + shape.anchor + half)):
+                    whole = (low >= 0) & (high <= size)
+                    piece = symbols.hash(base + np.maximum(low, 0), base + np.minimum(high, size)) | np.uint64(1)
                     pieces.append(_signed(np.where(whole, piece, np.uint64(0))))
                 tags = np.array([tag_of(t) for t in texts[first:last]], np.int32)
                 keys = part["key"].to_numpy(np.int64)[first:last]
                 yield pd.DataFrame({
-                    "h": _signed(h), "ctx": _signed(ctx), "parts": list(np.stack(pieces, axis=1)) if pieces else [[]] * len(pos),
-                    "key": keys[text], "tag": tags[text], "pos": pos.astype(np.int32),
+                    "h": _signed(h), "ctx": _signed(ctx), "before": pieces[0], "after": pieces[1], "key": keys[text], "tag": tags[text], "pos": pos.astype(np.int32),
                 })
 
     return run
 
 
-def occurrences(docs: DataFrame, texts: DataFrame, shape: Shape, splits: list[tuple[int, int]]) -> DataFrame:
+def occurrences(docs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
     """Every occurrence of a repeated anchor with the hash of its context."""
     joined = texts.join(repeated_anchors(docs, shape), "key")
-    return joined.select("doc_id", "key", "packed", "places").mapInPandas(_occurrence_rows(shape, splits), OCCURRENCES)
+    return joined.select("doc_id", "key", "packed", "places").mapInPandas(_occurrence_rows(shape), OCCURRENCES)

@@ -35,10 +35,9 @@ from fiscalmill.sources.staging import stage
 
 LENGTH = 200
 SHAPE = Shape(LENGTH, 64, words=False)
-HALF = SHAPE.margin // 2
-SPLITS = [(HALF, 0), (0, HALF)]
-SHARD_CONTEXTS = 3000
-"""Contexts in a shard on average; about one megabyte of text."""
+SHARD_CONTEXTS = 1500
+"""Contexts in a shard on average; about half a megabyte of text."""
+PAIRS_AT_ONCE = 1 << 14
 HOT = 3000
 """Classes in a group from which on windows are counted instead."""
 
@@ -94,12 +93,14 @@ class RunLengthIndex:
         out = np.zeros(len(a), np.int64)
         step = 16
         padded = np.concatenate([self.text, np.zeros(step, self.text.dtype)])
-        going, reach = np.arange(len(a)), np.arange(step)
-        while len(going):
-            differs = padded[a[going, None] + out[going, None] + reach] != padded[b[going, None] + out[going, None] + reach]
-            equal = np.where(differs.any(axis=1), differs.argmax(axis=1), step)
-            out[going] += equal
-            going = going[equal == step]
+        reach = np.arange(step)
+        for low in range(0, len(a), PAIRS_AT_ONCE):
+            going = np.arange(low, min(len(a), low + PAIRS_AT_ONCE))
+            while len(going):
+                differs = padded[a[going, None] + out[going, None] + reach] != padded[b[going, None] + out[going, None] + reach]
+                equal = np.where(differs.any(axis=1), differs.argmax(axis=1), step)
+                out[going] += equal
+                going = going[equal == step]
         return out
 
     def matching_statistics(self, most: int) -> np.ndarray:
@@ -149,34 +150,28 @@ def merged_text(keys: np.ndarray, starts: np.ndarray, contents: list[bytes]) ->
     pieces.append(np.array([parts + 1], np.int64))
     text = np.concatenate(pieces)
     is_byte = text >= 1 << 40
-    return np.where(is_byte, (text & 255) + parts + 2, text), begins
+    return np.where(is_byte, (text & 255) + parts + 2, text).astype(np.int32), begins
 
 
-SPANS = "h long, ctx long, spans array<int>"
-
-
-def _ranges(marks: np.ndarray) -> np.ndarray:
-    """Union of [m, m + LENGTH) of sorted places as a flat list of starts and ends."""
-    if not len(marks):
-        return np.zeros(0, np.int64)
-    cut = np.flatnonzero(np.diff(marks) > LENGTH)
-    return np.stack([marks[np.concatenate([[0], cut + 1])], marks[np.concatenate([cut, [len(marks) - 1]])] + LENGTH], axis=1).ravel()
+SPANS = "h long, ctx long, low int, high int"
 
 
 def search_shard(part: pd.DataFrame) -> pd.DataFrame:
-    """Spans of every context, relative to its start, that repeat elsewhere in the shard."""
+    """The span of every context, relative to its start, that repeats elsewhere in the shard.
+
+    A context has fewer than LENGTH windows, so its repeats overlap and make one span.
+    """
     part = part.drop_duplicates(["h", "ctx"])
-    contents = [bytes(c) for c in part["content"]]
-    names = pd.factorize(pd.MultiIndex.from_arrays([part["key"], part["tag"]]))[0] if len(part) else np.zeros(0, int)
+    contents = part["content"].tolist()
+    names = (part["key"].to_numpy(np.int64).astype(np.uint64) * np.uint64(tokens.BASE)) ^ part["tag"].to_numpy(np.uint64)
     text, begins = merged_text(names, part["start"].to_numpy(np.int64), contents)
-    statistics = RunLengthIndex(text).matching_statistics(LENGTH)
-    rows = []
-    for h, ctx, begin, content in zip(part["h"], part["ctx"], begins, contents, strict=True):
-        inside = max(0, len(content) - LENGTH + 1)
-        spans = _ranges(np.flatnonzero(statistics[begin : begin + inside] >= LENGTH))
-        if len(spans):
-            rows.append((h, ctx, spans.astype(np.int32)))
-    return pd.DataFrame(rows, columns=["h", "ctx", "spans"])
+    marks = np.flatnonzero(RunLengthIndex(text).matching_statistics(LENGTH) >= LENGTH)
+    inside = np.maximum(0, np.array([len(c) for c in contents], np.int64) - LENGTH + 1)
+    first, last = np.searchsorted(marks, begins), np.searchsorted(marks, begins + inside) - 1
+    found = first <= last
+    low = marks[first[found]] - begins[found]
+    high = marks[last[found]] + LENGTH - begins[found]
+    return pd.DataFrame({"h": part["h"][found], "ctx": part["ctx"][found], "low": low, "high": high})
 
 
 CONTENTS = "group long, h long, ctx long, key long, tag int, start int, content binary"
@@ -220,7 +215,7 @@ def _repeated_windows(hot: DataFrame) -> DataFrame:
     sums = rows.groupBy(F.col("window").alias("w"), F.col("h").alias("anchor")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
     twice = sums.where("low <> high").select("w", "anchor")
     found = rows.join(twice, (F.col("window") == F.col("w")) & (F.col("h") == F.col("anchor")))
-    return found.select("h", "ctx", F.array(F.col("at"), F.col("at") + LENGTH).alias("spans"))
+    return found.groupBy("h", "ctx").agg(F.min("at").alias("low"), (F.max("at") + LENGTH).alias("high"))
 
 
 def runs_covered(parts: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -253,14 +248,16 @@ def rest_of(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 def marked_texts(docs: DataFrame) -> DataFrame:
     """doc_id, key, packed text and marks (tag, pos, spans) of every document."""
     texts = packed_texts(docs)
-    found = stage(occurrences(docs, texts, SHAPE, SPLITS), "occurrences")
+    found = stage(occurrences(docs, texts, SHAPE), "occurrences")
     place = F.struct("key", "tag", "pos")
-    classes = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("parts").alias("parts"), F.min(place).alias("at"))
+    classes = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("after").alias("after"), F.min(place).alias("at"))
     classes = stage(classes, "classes")
-    halves = classes.select("h", "ctx", "at", F.posexplode("parts").alias("side", "part")).where("part <> 0")
-    name = F.xxhash64("h", "side", "part").alias("group")
-    counts = halves.groupBy(name).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    met = stage(halves.select(name, "h", "ctx", "at").join(counts, "group"), "groups")
+    side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("part")), F.struct(F.lit(1).alias("side"), F.col("after").alias("part"))))
+    halves = classes.select("h", "ctx", "at", "n", side.alias("s")).where("s.part <> 0")
+    halves = halves.select(F.xxhash64("h", "s.side", "s.part").alias("group"), "h", "ctx", "at", "n")
+    # A group is open if it has several classes and one of them is not known to repeat as a whole.
+    counts = halves.groupBy("group").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
+    met = stage(halves.drop("n").join(counts.drop("least"), "group"), "groups")
     cold = met.where(F.col("classes") <= HOT)
     shards = max(1, cold.count() // SHARD_CONTEXTS)
     target = F.when(F.col("classes") <= HOT, F.pmod("group", F.lit(shards))).otherwise(F.lit(-1)).cast("long")
@@ -271,7 +268,7 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     indexed = contents.where("group >= 0").groupBy("group").applyInPandas(search_shard, SPANS)
     spans = stage(indexed.union(_repeated_windows(contents.where("group < 0"))), "spans")
     several = classes.where("n > 1").select("h", "ctx", F.lit(None).cast("array<int>").alias("spans"))
-    single = spans.groupBy("h", "ctx").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    single = spans.groupBy("h", "ctx").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("spans"))
     single = single.join(classes.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_anti")
     marks = found.select("h", "ctx", "key", "tag", "pos").join(several.union(single), ["h", "ctx"])
     by_key = marks.groupBy("key").agg(F.collect_list(F.struct("tag", "pos", "spans")).alias("marks"))

@@ -123,7 +123,7 @@ def _grouped(suffixes: DataFrame, sampled: DataFrame) -> DataFrame:
 def marked_texts(docs: DataFrame) -> DataFrame:
     """doc_id, key, packed text and marks (tag, pos, at) of every document."""
     texts = packed_texts(docs)
-    found = stage(occurrences(docs, texts, SHAPE, []).drop("parts"), "occurrences")
+    found = stage(occurrences(docs, texts, SHAPE).drop("before", "after"), "occurrences")
     classes = found.groupBy("h", "ctx").agg(F.min(F.struct("key", "tag", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     classes = stage(classes, "classes")
     several = classes.groupBy(F.col("h").alias("anchor")).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("anchor")

@@ -10,7 +10,7 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 """Bytes of text that are handled at once. A longer text makes a batch of its own."""
 
 IS_SPACE = np.zeros(256, bool)
@@ -27,7 +27,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    return _powers(base, 1 << max(16, int(n).bit_length()))[:n]
+    return _powers(base, 1 << max(19, int(n).bit_length()))[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
