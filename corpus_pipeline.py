@@ -18,8 +18,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: shingles of five words, similarity of 0.8 or more."""
-    return near_dedup.deduplicate(docs, near_dedup.Likeness())
+    """One row of each near-duplicate group: shingles of five words, similarity of 0.8 or more."""
+    return near_dedup.one_of_each_group(docs, near_dedup.Likeness())
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

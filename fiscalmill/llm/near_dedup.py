@@ -19,7 +19,8 @@
 Defined cases: a text without words has an empty set, size 0, and is linked with nothing; with fewer than k words the
 whole sequence is the one shingle; a null id is no smallest id unless all ids of a group are null; `kept` compares ids
 null-safe; rows that repeat an id and text belong to one group; an empty table gives an empty result; further columns
-are passed over by `groups` and kept by `deduplicate`.
+are passed over by `groups` and kept by `deduplicate` and `one_of_each_group`. `kept` is a flag of ids, so all rows of
+a group under its smallest id have it; `one_of_each_group` goes by rows and leaves one of them.
 """
 
 from __future__ import annotations
@@ -299,7 +300,24 @@ def _named(like: Likeness):
 
 
 def deduplicate(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
-    """The documents of which each near-duplicate group keeps the one with the smallest id, with all their columns."""
+    """All rows with an id that `groups` marks as kept, with all their columns; rows that share such an id all stay."""
     kept = groups(docs, like or Likeness()).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     kept = stage(kept, "kept-ids")
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def one_of_each_group(docs: DataFrame, like: Likeness | None = None) -> DataFrame:
+    """One row of each near-duplicate group, with all its columns: the smallest id, null last, of equal ids any one row.
+
+    Groups are made of rows by a number that is staged with them. A row without words is a group of its own.
+    """
+    row = "row_number"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    grouped = groups(numbered.select(F.col(row).alias("doc_id"), "text"), like or Likeness())
+    ids = numbered.select(F.col(row).alias("of"), F.col("doc_id").alias("id"))
+    members = grouped.join(ids, grouped["doc_id"] == ids["of"])
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "of")).alias("first")
+    kept = stage(members.groupBy("component_id").agg(first).select(F.col("first.of").alias("kept_row")), "kept-rows")
+    return numbered.join(kept, numbered[row] == kept["kept_row"], "left_semi").drop(row)

@@ -7,9 +7,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fiscalmill.llm import graph, near_dedup, suffix_index, suffix_trees
 
-from .conftest import bag, by_sql
+from .conftest import bag, by_sql, invented
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,6 +77,40 @@ def test_deduplicate_keeps_columns(edge_docs, no_docs):
     assert near_dedup.groups(no_docs).count() == 0
 
 
+def brute_kept(rows, like):
+    """What one row of each group leaves: the ids and texts by the order (id, null last, place)."""
+    sets = [shingles(t, like) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= like.percent * (len(sets[i]) + len(sets[j]) - both):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    first = {}
+    for i, (doc_id, _) in enumerate(rows):
+        first[label[i]] = min(first.get(label[i], (2, 0, 0)), (doc_id is None, doc_id or 0, i))
+    return [rows[i] for _, _, i in first.values()]
+
+
+def test_one_row_of_each_group(spark, edge_docs, folder):
+    """Repeated rows, one id for several texts, rows without an id: the stage against brute force, by rows and texts."""
+    a, b, c = (" ".join(invented(i, 90)) for i in (21, 22, 23))
+    near = lambda text, word: " ".join([*text.split()[:-1], word])
+    more = [(100, a), (100, a), (103, near(a, "x")), (102, b), (103, near(b, "y")), (103, "quite another text under this id")]
+    more += [(None, c), (None, c), (None, near(c, "z")), (None, near(a, "v")), (None, "no id and seen once")]
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()] + more
+    docs = edge_docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"), allowMissingColumns=True).repartition(5)
+    left = corpus_pipeline.near_dedup_stage(spark, docs, folder)
+    assert left.columns == docs.columns
+    found, wanted = left.select("doc_id", "text").collect(), brute_kept(rows, near_dedup.Likeness())
+    assert Counter(r["doc_id"] for r in found) == Counter(i for i, _ in wanted)
+    like = near_dedup.Likeness()
+    assert Counter(shingles(r["text"], like) for r in found if r["doc_id"]) == Counter(shingles(t, like) for i, t in wanted if i)
+    texts = [r["text"] for r in found]
+    assert texts.count(a) == 1 and sum(t in (c, near(c, "z")) for t in texts) == 1 and near(b, "y") not in texts and near(a, "x") not in texts
+
+
 def test_sketches_merge_and_estimate():
     r = np.random.default_rng(2)
     pool = r.integers(0, 2**63, 4000, dtype=np.uint64)
