@@ -17,7 +17,7 @@ the queue. Remainders below exp(CUT) of the text's mass are not queued: one woul
 or less. Randomness comes from (seed, id) alone.
 
 Defined cases: a null or empty text has no ids, no samples and one row of rank 0; a text with fewer than k segmentations
-gives all of them, with inclusion score 0; runs of over BLOCK characters without a cut are sampled in blocks; texts with
+gives all of them, with inclusion score 0; a chunk of any length has one lattice, its backward sums being logs; texts with
 a word mark of their own (U+2581) decode to a space and are reported as not exact; rows repeat as in the input, with
 equal samples; a null id seeds as the word null; an empty table gives an empty result; further columns are passed over.
 """
@@ -44,7 +44,6 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SHIFT, SMOOTHING = 2.7, 0.4
 CUT = -60.0
-BLOCK = 200
 REMEMBERED = 150_000
 """Chunks whose ids a task keeps."""
 SAMPLE_CHARACTERS = 1_000_000
@@ -70,7 +69,6 @@ class Pieces:
         self.log_weight = np.full(n, -math.log(n + SHIFT) - math.log(len(byte) + 1))
         self.log_weight[plain] = value
         self.log_weight *= SMOOTHING
-        self.scale = 0.5 * SMOOTHING * math.log(n)  # keeps sums of products near one
         self.mark_ids = [i for i in plain if names[i] == MARK] or self.model.encode(MARK)
         self.longest = max(len(names[i]) for i in plain)
         self.bytes = [b"" if special[i] else names[i].replace(MARK, " ").encode() for i in range(n)]
@@ -121,11 +119,10 @@ class Pieces:
         return joined[1:].decode("utf-8", "replace") if joined[:1] == b" " else joined.decode("utf-8", "replace")
 
     def blocks(self, text: str) -> list[str]:
-        """Chunks for sampling; very long ones in blocks."""
-        out = []
-        for chunk in self.chunks(text) if text else ():
-            out += [chunk] if len(chunk) <= BLOCK else [chunk[i : i + BLOCK] for i in range(0, len(chunk), BLOCK)]
-        return out
+        """Parts for sampling, cut only where no piece of the vocabulary crosses."""
+        if not text:
+            return []
+        return self.chunks(text) if self.separable else [MARK + text.replace(" ", MARK)]
 
     def expand(self, ids: np.ndarray) -> np.ndarray:
         """Ids of edges: a negative one stands for the bytes of the character -1 - id."""
@@ -178,23 +175,24 @@ class Lattices:
         weight = pieces.log_weight[np.maximum(ids, 0)]
         for point in np.unique(points[alone]).tolist():
             weight[ids == -1 - point] = sum(pieces.log_weight[i] for i in pieces.character(point))
-        weight = np.exp(weight + pieces.scale * length)
         left = stop[start] - start
         order = np.lexsort((length, start, left))
         start, length, ids, weight, left = (x[order] for x in (start, length, ids, weight, left))
-        total, share = np.zeros(n + 1), np.empty(len(start))
-        bounds = np.searchsorted(left, np.arange(1, (int(left.max(initial=0)) + 2)))
-        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
-            if low < high:
-                own = start[low:high]
-                end = own + length[low:high]
-                part = weight[low:high] * np.where(end == stop[own], 1.0, total[end])
-                first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-                total[own[first]] = np.add.reduceat(part, first)
-                share[low:high] = part
+        end = start + length
+        end = np.where(end == stop[start], n, end)  # where nothing is left
+        total = np.zeros(n + 1)
+        heads = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1]])) if n else np.zeros(0, np.int64)
+        sizes = np.diff(heads, append=len(start))
+        levels = np.arange(1, int(left.max(initial=0)) + 2)
+        bounds, parts = np.searchsorted(left, levels), np.searchsorted(left[heads], levels)
+        for low, high, a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), parts[:-1].tolist(), parts[1:].tolist(), strict=True):
+            logs, at = weight[low:high] + total[end[low:high]], heads[a:b] - low
+            most = np.maximum.reduceat(logs, at)
+            total[start[heads[a:b]]] = most + np.log(np.add.reduceat(np.exp(logs - np.repeat(most, sizes[a:b])), at))
+        log_share = weight + total[end] - total[start]
         order = np.argsort(start, kind="stable")
-        start, length, self.ids, share = start[order], length[order], ids[order], share[order]
-        self.share = share / total[start]
+        start, length, self.ids, self.log_share = start[order], length[order], ids[order], np.minimum(log_share[order], 0.0)
+        self.share = np.exp(self.log_share)
         self.first = np.searchsorted(start, np.arange(n + 1))
         reached = np.cumsum(self.share)
         within = reached - np.concatenate([[0.0], reached])[self.first[start]]
@@ -202,7 +200,6 @@ class Lattices:
         within[last] = 1.0
         self.ladder = start + within
         self.start, self.end, self.stop = start, start + length, stop
-        self.log_share = np.log(self.share)
         self.n_edges = np.diff(self.first)[start] if n else np.zeros(0, np.int64)
 
     def step(self, nodes: np.ndarray, u: np.ndarray) -> np.ndarray:

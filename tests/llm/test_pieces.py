@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from fiscalmill.llm import pieces
@@ -55,6 +56,38 @@ def test_all_segmentations_of_a_short_text(vocabulary):
     assert len(found) == 2 and all(inclusion == 0.0 for _, _, inclusion in found)
 
 
+def log_mass(vocabulary, chunk):
+    """Log of the mass of all segmentations of a chunk, place by place."""
+    total = [0.0] * (len(chunk) + 1)
+    for at in range(len(chunk) - 1, -1, -1):
+        logs = []
+        for end in range(at + 1, min(len(chunk), at + vocabulary.longest) + 1):
+            i = vocabulary.model.piece_to_id(chunk[at:end])
+            if i > 2 and vocabulary.model.id_to_piece(i) == chunk[at:end]:
+                logs.append(vocabulary.log_weight[i] + total[end])
+            if end == at + 1 and not logs:
+                logs.append(sum(vocabulary.log_weight[x] for x in vocabulary.character(ord(chunk[at]))) + total[end])
+        most = max(logs)
+        total[at] = most + math.log(sum(math.exp(x - most) for x in logs))
+    return total[0]
+
+
+@pytest.mark.parametrize("text", ["to" * 200, "=" * 400, "日本語" * 134, "a😀\U000e0041" * 134, " " * 400, "https://example.org/" + "a1b2c3d4e5" * 60])
+def test_long_chunks_have_one_lattice(vocabulary, text):
+    chunk, n = vocabulary.chunks(text), 400
+    assert len(chunk) == 1 and len(chunk[0]) > 400
+    mass = log_mass(vocabulary, chunk[0])
+    drawn = pieces.sampled(vocabulary, [text] * n, [f"s{i}" for i in range(n)], 1)
+    crossed = 0
+    for ((ids, log_prob, _),) in drawn:
+        assert vocabulary.decode(ids.tolist()) == text
+        assert abs(log_prob - (sum(vocabulary.log_weight[i] for i in ids) - mass)) < 1e-6
+        ends = set(np.cumsum([len(vocabulary.bytes[i]) for i in ids]).tolist())
+        crossed += len(chunk[0][:200].replace("▁", " ").encode()) not in ends
+    apart = math.exp(log_mass(vocabulary, chunk[0][:200]) + log_mass(vocabulary, chunk[0][200:]) - mass)
+    assert abs(crossed / n - (1 - apart)) < 0.1
+
+
 def test_operator_on_edges(spark, edge_docs, no_docs):
     rows = pieces.segmentations(edge_docs, k=3).collect()
     again = pieces.segmentations(edge_docs.repartition(5), k=3).collect()
