@@ -7,10 +7,13 @@ labelled pages of a seeded page grammar, once and on the driver: the training se
 corpus is. Pages are then decoded by Viterbi, page by page, in the tasks that read them; nothing is shuffled.
 
 Text comes out whole: character references decoded, white space in a block turned into one space, blocks trimmed and
-joined by an empty line. Scripts, styles, comments and the head are no blocks.
+joined by an empty line. Scripts, styles, comments, the title, buttons, templates and drawings (svg) are no blocks; a
+head has no text but theirs, so it needs no end. Formulas (math) and the content of objects are text.
 
 Defined cases: a null or empty html gives an empty text; markup that is never closed is taken as the browser does for
-paragraphs and list items, and to the end of the page for scripts and comments; pages repeat as in the input; null ids
+paragraphs and list items, and to the end of the page for scripts and comments; a button, template or drawing whose end
+does not come before its parent's is left at the next start or end of a block, and an end without a start is passed over;
+pages repeat as in the input; null ids
 and addresses are passed through; an empty table gives an empty result; further columns are passed over.
 """
 
@@ -37,7 +40,8 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul option select".split()
 )
-SKIPPED_TAGS = frozenset("head script style template noscript svg math iframe object textarea title button".split())
+SKIPPED_TAGS = frozenset("svg template button".split())
+"""Skipped with all that is inside. Elements whose content is no markup are skipped by TOKEN."""
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 GROUPS = {
     "menu": "nav menu breadcrumb breadcrumbs navbar navigation toolbar toc pagination pager menubar skip",
@@ -55,10 +59,11 @@ WORD_GROUP = {word: group for group, words in GROUPS.items() for word in words.s
 TAG_GROUPS = frozenset("nav header footer aside form article main section".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|svg|iframe)\b.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|iframe)\b.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
+SELF_CLOSED = re.compile(r"<[a-zA-Z]+((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table article section div main aside nav footer header form body html".split())
@@ -80,12 +85,74 @@ def name_groups(attributes: str) -> frozenset[str]:
     return frozenset(found)
 
 
+@dataclass
+class Token:
+    """A tag or a part without text (no name) from `start` to `end` of the page."""
+
+    start: int
+    end: int
+    name: str
+    closing: bool
+    attributes: str
+
+
+def tokens_of(page: str) -> tuple[list[Token], dict[int, int | None]]:
+    """Tokens of a page, and for each that starts a skipped element its end tag, or nothing if that does not come in time."""
+    found: list[Token] = []
+    ends: dict[int, int | None] = {}
+    blocks: list[str] = []
+    depth_of: dict[str, list[int]] = {}
+    inside: list[tuple[str, int, int]] = []  # skipped elements and foreignObject: name, token, blocks around it
+    at = 0
+
+    def leave(depth: int) -> None:
+        while len(blocks) > depth:
+            depth_of[blocks.pop()].pop()
+
+    while token := TOKEN.search(page, at):
+        at = token.end()
+        name, closing, attributes = (token[3] or token[6] or "").lower(), bool(token[2] or token[5]), token[4] or token[7] or ""
+        if token[1] and any(x[0] == "svg" for x in inside):
+            own = SELF_CLOSED.match(page, token.start())
+            if own and own[1].endswith("/"):
+                at = own.end()
+        i = len(found)
+        found.append(Token(token.start(), at, name, closing, attributes))
+        if name in SKIPPED_TAGS or name == "foreignobject":
+            if closing:
+                if any(x[0] == name for x in inside):
+                    while inside[-1][0] != name:
+                        inside.pop()
+                    _, start, depth = inside.pop()
+                    ends[start] = i
+                    leave(depth)
+            elif not attributes.endswith("/"):
+                if name == "button" and any(x[0] == name for x in inside):  # buttons do not nest
+                    while inside.pop()[0] != name:
+                        pass
+                inside.append((name, i, len(blocks)))
+                ends[i] = None
+        elif name in BLOCK_TAGS:
+            while inside and inside[-1][0] == "svg":  # no block stands in a drawing
+                inside.pop()
+            if not closing:
+                if name not in VOID_TAGS:
+                    depth_of.setdefault(name, []).append(len(blocks))
+                    blocks.append(name)
+            elif depth_of.get(name):
+                depth = depth_of[name][-1]
+                while inside and inside[-1][2] > depth:
+                    inside.pop()
+                leave(depth)
+    return found, ends
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     blocks: list[Block] = []
     path: list[tuple[str, frozenset[str]]] = []
     pieces: list[str] = []
-    linked, in_link, skipping, at = 0, 0, [], 0
+    linked, in_link, at, next_ = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -98,25 +165,29 @@ def blocks_of(page: str) -> list[Block]:
 
     def take(text: str) -> None:
         nonlocal linked
-        if text and not skipping:
+        if text:
             pieces.append(text)
             if in_link:
                 linked += len(text)
 
-    for token in TOKEN.finditer(page):
-        take(page[at : token.start()])
-        at = token.end()
-        name = (token[3] or token[6] or "").lower()
+    tokens, skipped = tokens_of(page)
+    while next_ < len(tokens):
+        token = tokens[next_]
+        take(page[at : token.start])
+        at, name, closing = token.end, token.name, token.closing
+        if name in SKIPPED_TAGS and next_ in skipped:
+            end = skipped[next_]
+            if end is not None:
+                next_, at = end + 1, tokens[end].end
+            else:
+                next_ += 1
+                while next_ < len(tokens) and tokens[next_].name not in BLOCK_TAGS:
+                    next_ += 1
+                at = tokens[next_].start if next_ < len(tokens) else len(page)
+            continue
+        next_ += 1
         if not name:
             continue
-        closing = bool(token[2] or token[5])
-        if name in SKIPPED_TAGS:
-            if closing:
-                skipping = skipping[:-1]
-            elif not (token[4] or token[7] or "").endswith("/"):
-                skipping = [*skipping, name]
-        elif skipping and name == "body":
-            skipping = []
         if name == "a":
             in_link = 0 if closing else 1
         elif name == "br" or name == "img":
@@ -136,8 +207,7 @@ def blocks_of(page: str) -> list[Block]:
                         break
                     if path[i][0] in SCOPES:
                         break
-                attributes = token[4] or token[7] or ""
-                path.append((name, name_groups(attributes) if "=" in attributes else frozenset()))
+                path.append((name, name_groups(token.attributes) if "=" in token.attributes else frozenset()))
             in_link = 0 if name in ("body", "p", "div", "article", "section", "footer") else in_link
     take(page[at:])
     flush()

@@ -55,3 +55,41 @@ def test_edges(spark, model):
     assert [r["text"] for r in found if r["page_id"] in (None, 1)] == ["", "", ""]
     assert all(r["n_chars"] == len(r["text"]) for r in found)
     assert html_text.extract(spark.createDataFrame([], PAGES), model).count() == 0
+
+
+ARTICLE = "<article><h1>A long title of it</h1><p>The first paragraph has some words in it.</p><p>The second one follows here, as said.</p></article>"
+BLOCKS = ["A long title of it", "The first paragraph has some words in it.", "The second one follows here, as said."]
+
+
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<html><head><title>t</title>", ""),
+        ("<html><head><meta charset=utf-8><link rel=x><style>p {}</style><script>no()</script>", "</html>"),
+        ("<title>t</title>", ""),
+        ("<head><title>t</title></head><body><button>", ""),
+        ("<body><div><button>Menu</div>", "</body>"),
+        ("<body><div><button>Menu", "</div></body>"),
+        ("<body><button>Menu</button></button>", ""),
+        ("<body><div><button>One<button>Two</button></div>", "<div><button>Share</button></div>"),
+        ("<body><object data=x>", "</body>"),
+        ("<body><div><svg><path d=x><g>", "</div><svg></svg>"),
+        ("<body><svg viewBox=x />", "<svg></svg>"),
+        ("<body><svg><title/><text>no</button>no</text></svg>", "<svg><title>no</title></svg>"),
+        ("<body><svg><foreignObject><div>no</div></foreignObject>no</svg>", ""),
+        ("<body><svg><svg>no</svg>no</svg>", ""),
+        ("<body><template><p>no</p><template>no</template>no</template>", ""),
+        ("<body><button><div>no</div><p>no</button>", ""),
+        ("<body><svg>no</math>no</object>no</svg>", ""),
+        ("<body><div><math><mi>", "</div></body>"),
+    ],
+)
+def test_skipped_elements_end(before, after):
+    assert [b.text for b in html_text.blocks_of(before + ARTICLE + after)] == BLOCKS
+
+
+def test_formulas_and_objects_are_text(model):
+    page = ARTICLE.replace("some words", "<math><mi>E</mi><mo>=</mo><mi>m</mi></math> and <object data=x>a plain table</object>")
+    wanted = [BLOCKS[0], "The first paragraph has E=m and a plain table in it.", BLOCKS[2]]
+    assert [b.text for b in html_text.blocks_of(page)] == wanted
+    assert html_text.main_text("<html><head><title>t</title>" + page, model).split("\n\n") == wanted
