@@ -149,11 +149,14 @@ def judge(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 def keep(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with all their columns.
 
-    Here every count is made only when the cascade comes to the rule that needs it.
+    Here every count is made only when the cascade comes to the rule that needs it; words and windows are made once.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.col("__words")
-    split = lambda rows: with_words(rows, text)
+    # A filter is not moved below explode: it would make the words anew for each word.
+    held = lambda rows, name, value: rows.withColumn(name, F.explode(F.array(value)))
+    hashed = lambda rows: held(held(rows, "__words", words_of(text)), "__hashes", word_hashes(words))
+    split = lambda rows: held(hashed(rows), "__windows", window_hashes(F.col("__hashes"))).drop("__hashes")
     lazily = rules(
         F.size(words).cast("long"),
         F.char_length(F.array_join(words, "")).cast("long"),

@@ -86,3 +86,10 @@ def test_chats_equal_sql(turns):
 def test_markers_in_texts_are_broken(turns):
     rendered = chat.format_chats(turns).where("conv_id = 7").first()["chat"]
     assert rendered == "<|im_start|>unknown\n<| im_start|>system<|im_end|>\n<|im_start|>unknown\nx<| im_end|>y<|im_end|>\n"
+
+
+def test_keep_makes_words_once(edge_docs):
+    """No filter makes the words of a text itself; inside a lambda that would be once for each word."""
+    plan = quality_rules.keep(edge_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_remove(split" in plan
+    assert not any("array_remove(split" in part for part in plan.split("Filter ")[1:] for part in [part.split("+- ")[0]])
