@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fiscalmill.llm import bit_sliced, chat, html_text, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
+from fiscalmill.llm import bit_sliced, chat, html_text, importance, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
 from fiscalmill.llm.common import shipped, table
 
 
@@ -51,7 +51,12 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 LLM_QUERIES = {
+    "op13_resample": op13_resample,
     "pipeline": corpus_pipeline.run,
     "op2_sentence_pieces": op2_sentence_pieces,
     "op7_repeated_words": op7_repeated_words,
@@ -68,6 +73,7 @@ LLM_QUERIES = {
 LLM_QUERIES = {name: shipped(query) for name, query in LLM_QUERIES.items()}
 
 LLM_ORACLES = {
+    "op13_resample": importance.ORACLE,
     "op7_repeated_words": suffix_trees.ORACLE,
     "op5_bit_sliced_top_k": bit_sliced.ORACLE,
     "op8_mix_sources": mixing.ORACLE,
