@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fiscalmill.llm import bit_sliced, chat, html_text, importance, mixing, near_dedup, pieces, quality_classifier, quality_rules, suffix_index, suffix_trees
+from fiscalmill.llm import bit_sliced, chat, html_text, importance, mixing, near_dedup, pieces, quality_classifier, quality_rules, simhash, suffix_index, suffix_trees, whitening
 from fiscalmill.llm.common import shipped, table
 
 
@@ -55,7 +55,17 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
+    "op11_whiten": op11_whiten,
+    "op12_simhash": op12_simhash,
     "op13_resample": op13_resample,
     "pipeline": corpus_pipeline.run,
     "op2_sentence_pieces": op2_sentence_pieces,
