@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fiscalmill.functions.expr import ICMS_VARIANTS, MONEY, SUBSTITUTION_VARIANTS
 
 CORRUPT = "_corrupt_record"
+TEXT_FIELD = "_VALUE"
+"""Field that holds the text of a tag that also has attributes."""
 
 
 def _ddl(name: str, variant_fields: str) -> str:
@@ -134,6 +137,52 @@ def merge_schemas(known: T.StructType, found: T.StructType) -> T.StructType:
     return T.StructType(merged + [f for f in found.fields if f.name.lower() in by_name])
 
 
+def _exact_number(text: Column, kind: T.DataType) -> Column:
+    """Text as a number; a decimal comma counts as a point, points before it separate thousands."""
+    plain = F.when(text.contains(","), F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(text)
+    return F.trim(plain).try_cast(kind)
+
+
+def fitted(value: Column, found: T.DataType, wanted: T.DataType) -> Column:
+    """A value of a merged schema as the type that the library reads.
+
+    Known fields keep their place at every depth, unknown ones are left out. A tag known once and found several times
+    gives its first value, one known as a list and found once a list of one. Text that is no number is null.
+    """
+    if found == wanted:
+        return value
+    if isinstance(wanted, T.ArrayType):
+        if isinstance(found, T.ArrayType):
+            return F.transform(value, lambda x: fitted(x, found.elementType, wanted.elementType))
+        return F.when(value.isNotNull(), F.array(fitted(value, found, wanted.elementType)))
+    if isinstance(found, T.ArrayType):
+        return fitted(F.get(value, F.lit(0)), found.elementType, wanted)
+    if isinstance(wanted, T.StructType):
+        if not isinstance(found, T.StructType):
+            return F.lit(None).cast(wanted)
+        names = {f.name.lower(): f for f in found.fields}
+        missing = lambda f: F.lit(None).cast(f.dataType)
+        here = lambda f: fitted(value[names[f.name.lower()].name], names[f.name.lower()].dataType, f.dataType)
+        fields = [(here(f) if f.name.lower() in names else missing(f)).alias(f.name) for f in wanted.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(found, T.StructType):
+        # A tag with attributes holds its text in a field of its own.
+        inner = next((f for f in found.fields if f.name == TEXT_FIELD), None)
+        return F.lit(None).cast(wanted) if inner is None else fitted(value[TEXT_FIELD], inner.dataType, wanted)
+    if isinstance(found, T.StringType) and isinstance(wanted, T.NumericType):
+        return _exact_number(value, wanted)
+    return value.try_cast(wanted)
+
+
+def conformed(docs: DataFrame, schema: T.StructType | None = None) -> DataFrame:
+    """Documents of a merged schema with the fields and types of `schema`, all other columns kept."""
+    schema = schema or document_schema()
+    types = {f.name: f.dataType for f in docs.schema.fields}
+    known = {f.name: f.dataType for f in schema.fields}
+    fields = [fitted(F.col(c), types[c], known[c]).alias(c) if c in known else F.col(c) for c in docs.columns]
+    return docs.select(*fields, *[F.lit(None).cast(k).alias(n) for n, k in known.items() if n not in types])
+
+
 def schema_paths(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """Leaf paths and types of a schema as rows, for comparing two schemas."""
     rows: list[tuple[str, str]] = []

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +24,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+SCOPE = "spark.fiscalmill.runFolder"
+"""Session setting that names the folder of the run in progress."""
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/fiscalmill/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get(SCOPE, None) or f"{shared_folder(spark)}/fiscalmill"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _path(spark, path)
+    return files.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder and all in it, on whatever file system the path names; nothing if it is not there."""
+    files, at = _path(spark, path)
+    files.delete(at, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -41,3 +65,34 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     seen = Observation()
     staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
     return staged, seen.get["rows"]
+
+
+@dataclass(frozen=True)
+class Steps:
+    """Named intermediate tables of one run. A step that was written to its end is read instead of made again."""
+
+    spark: SparkSession
+    folder: str
+
+    def __call__(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{self.folder}/step-{name}"
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            make().write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+
+def fresh(name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A step outside of any run: always made."""
+    return stage(make(), name)
+
+
+@contextmanager
+def run_scope(spark: SparkSession, run_id: str) -> Iterator[Steps]:
+    """Staging under a folder of the run. The folder goes when the run ends well, and stays for the next try if not."""
+    folder, outer = f"{shared_folder(spark)}/fiscalmill/run-{run_id}", spark.conf.get(SCOPE, None)
+    spark.conf.set(SCOPE, folder)
+    try:
+        yield Steps(spark, folder)
+        remove(spark, folder)
+    finally:
+        spark.conf.unset(SCOPE) if outer is None else spark.conf.set(SCOPE, outer)
