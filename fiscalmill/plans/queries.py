@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, wraps
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from fiscalmill.operators import validate as V
 from fiscalmill.operators.documents import receiving_establishment, resolve
 from fiscalmill.operators.lookup import left_lookup
 from fiscalmill.operators.partners import new_partners
-from fiscalmill.plans import batch, variants
+from fiscalmill.plans import batch, runs, variants
 from fiscalmill.session import tune
 from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT, PARTNER_LAYOUT
 from fiscalmill.sources import sample, schema, sinks, staging, xml
@@ -180,6 +181,88 @@ def new_files_only(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flat(texts: DataFrame) -> DataFrame:
+    """Texts with one line for each document."""
+    return texts.withColumn("text", F.regexp_replace("text", "\n *", ""))
+
+
+def new_store(spark: SparkSession) -> runs.Store:
+    return runs.Store.under(staging.new_folder(spark, "store"))
+
+
+@query
+def schema_feedback(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of a newer layout do not fit the schema in the first run; their texts widen it, and the next run reads them."""
+    texts = sample.newer_texts(World(spark, folder).texts())
+    store, extras = new_store(spark), {"note": "NFe.infNFe.infAdic.note"}
+    runs.take_documents(spark, texts, store, "1", extras)
+    runs.take_documents(spark, texts.limit(0), store, "2", extras)
+    return store.runs.read(spark, "documents").select(
+        E.document_number(E.doc("ide.nNF"), E.doc("ide.nCT")).alias("NUM_DOCFIS"),
+        "run_id",
+        "note",
+        E.doc("total.ICMSTot.vNF").alias("vNF"),
+    )
+
+
+@query
+def ingest_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs over one landing area take each file once; the files of a run that never commits come again."""
+    landing, store = staging.new_folder(spark, "landing"), new_store(spark)
+    texts = flat(World(spark, folder).texts())
+    for run, arrived in (("1", F.col("doc_key") % 2 == 0), ("2", F.col("doc_key") % 2 != 0)):
+        texts.where(arrived).select("text").write.mode("append").text(landing)
+        failed = store.begin(spark, "failed")
+        failed.write(runs.files_of_run(spark, landing, store, "failed"), "ingested")
+        runs.take_folder(spark, landing, store, run, whole_files=False)
+    runs.take_folder(spark, landing, store, "3", whole_files=False)
+    taken = store.runs.read(spark, "documents")
+    return taken.groupBy("run_id", E.doc("ide.mod").alias("model")).agg(F.count(F.lit(1)).alias("documents"))
+
+
+@query
+def committed_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers of two runs, of which one is repeated, among attempts that wrote rows and never committed."""
+    w, store = World(spark, folder), new_store(spark)
+    texts = staging.stage(w.texts(), "texts")
+    even, odd = texts.where("doc_key % 2 = 0"), texts.where("doc_key % 2 <> 0")
+    runs.import_texts(spark, even, w.master, w.settings, store, "a", sample.COUNTER)
+    for run in ("a", "b"):
+        store.begin(spark, run).write(store.runs.read(spark, "headers").select(*HEADER_LAYOUT), "headers")
+    runs.import_texts(spark, odd, w.master, w.settings, store, "b", sample.COUNTER)
+    runs.import_texts(spark, even, w.master, w.settings, store, "a", sample.COUNTER)
+    return store.runs.read(spark, "headers").select("run_id", "NUM_DOCFIS", "COD_ESTAB", "NUM_CONTROLE_DOCTO")
+
+
+class Stopped(Exception):
+    """Stands for a driver that is lost between the commit of a batch and the stream's checkpoint."""
+
+
+@query
+def stream_import(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole runs from a stream that admits two files a batch, stopped once after a commit, and started again."""
+    w, store = World(spark, folder), new_store(spark)
+    landing, checkpoint = staging.new_folder(spark, "landing"), staging.new_folder(spark, "checkpoint")
+    flat(w.texts()).select("text").repartition(4).write.text(landing)
+    lost = []
+
+    def stop_once(run_id: str) -> None:
+        if not lost:
+            lost.append(run_id)
+            raise Stopped(run_id)
+
+    for _ in range(2):
+        try:
+            runs.stream_imports(
+                spark, landing, checkpoint, w.master, w.settings, store, "arrivals", sample.COUNTER,
+                whole_files=False, files_per_batch=2, after=stop_once,
+            )
+        except StreamingQueryException as stopped:
+            if "Stopped" not in str(stopped):
+                raise
+    return store.runs.read(spark, "headers").select(*[c for c in HEADER_LAYOUT if c != H.NUMBER])
+
+
 # Projections
 
 

@@ -464,3 +464,16 @@ def bad_texts(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "orders").select(k.alias("doc_key"), F.explode(kinds).alias("b"))
     name = F.concat(F.lit("file:///landing/bad-"), F.col("doc_key").cast("string"), F.lit("-"), F.col("b.kind"), F.lit(".xml"))
     return rows.select("doc_key", name.alias("filename"), F.col("b.text").alias("text"))
+
+
+def is_newer(key: Column) -> Column:
+    """Goods invoices that come in a newer layout."""
+    return goods_only(key) & (key % 13 == 0)
+
+
+def newer_texts(texts: DataFrame) -> DataFrame:
+    """Texts in which the invoices of the newer layout have one more group, and a total with a currency sign and a decimal comma."""
+    newer = F.regexp_replace("text", r"<vNF>(\d+)\.(\d+)</vNF>", r"<vNF>R\$ $1,$2</vNF>")
+    note = F.concat(F.lit("<infAdic><note>note "), F.col("doc_key").cast("string"), F.lit("</note></infAdic></infNFe>"))
+    newer = F.replace(newer, F.lit("</infNFe>"), note)
+    return texts.withColumn("text", F.when(is_newer(F.col("doc_key")), newer).otherwise(F.col("text")))

@@ -138,9 +138,13 @@ def merge_schemas(known: T.StructType, found: T.StructType) -> T.StructType:
 
 
 def _exact_number(text: Column, kind: T.DataType) -> Column:
-    """Text as a number; a decimal comma counts as a point, points before it separate thousands."""
-    plain = F.when(text.contains(","), F.replace(F.replace(text, F.lit("."), F.lit("")), F.lit(","), F.lit("."))).otherwise(text)
-    return F.trim(plain).try_cast(kind)
+    """Text as a number, without what stands before its digits, such as a currency sign.
+
+    A decimal comma counts as a point; points before it separate thousands.
+    """
+    digits = F.trim(F.regexp_replace(text, r"^[^0-9+-]+", ""))
+    plain = F.when(digits.contains(","), F.replace(F.replace(digits, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
+    return plain.otherwise(digits).try_cast(kind)
 
 
 def fitted(value: Column, found: T.DataType, wanted: T.DataType) -> Column:

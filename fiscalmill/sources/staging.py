@@ -24,28 +24,29 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-SCOPE = "spark.fiscalmill.runFolder"
-"""Session setting that names the folder of the run in progress."""
+_run_folders: list[str] = []
+"""Folder of the run in progress, the innermost last. All sessions and threads of the driver stage there."""
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get(SCOPE, None) or f"{shared_folder(spark)}/fiscalmill"
+    base = _run_folders[-1] if _run_folders else f"{shared_folder(spark)}/fiscalmill"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def _path(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path for it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, at = _path(spark, path)
+    files, at = file_system(spark, path)
     return files.exists(at)
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """A folder and all in it, on whatever file system the path names; nothing if it is not there."""
-    files, at = _path(spark, path)
+    files, at = file_system(spark, path)
     files.delete(at, True)
 
 
@@ -89,10 +90,10 @@ def fresh(name: str, make: Callable[[], DataFrame]) -> DataFrame:
 @contextmanager
 def run_scope(spark: SparkSession, run_id: str) -> Iterator[Steps]:
     """Staging under a folder of the run. The folder goes when the run ends well, and stays for the next try if not."""
-    folder, outer = f"{shared_folder(spark)}/fiscalmill/run-{run_id}", spark.conf.get(SCOPE, None)
-    spark.conf.set(SCOPE, folder)
+    folder = f"{shared_folder(spark)}/fiscalmill/run-{run_id}"
+    _run_folders.append(folder)
     try:
         yield Steps(spark, folder)
         remove(spark, folder)
     finally:
-        spark.conf.unset(SCOPE) if outer is None else spark.conf.set(SCOPE, outer)
+        _run_folders.remove(folder)

@@ -384,6 +384,25 @@ ORACLES: dict[str, str] = {
         [DOC],
         "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc" + PARTS + " group by all",
     ),
+    "schema_feedback": sql(
+        [DOC],
+        f"select {pad('k', 9)} as NUM_DOCFIS, case when goods and k % 13 = 0 then '2' else '1' end as run_id, "
+        "case when goods and k % 13 = 0 then 'note ' || k end as note, "
+        "case when goods then cast(total - coalesce(vdesc, 0) as decimal(18,2)) end as vNF from doc" + PARTS,
+    ),
+    "ingest_log": sql(
+        [DOC],
+        "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc" + PARTS + " group by all",
+    ),
+    "committed_runs": f"""
+        with numbered as (
+          select o_orderkey as k, row_number() over (partition by o_orderkey % 2 order by o_orderkey) as place,
+            (select count(*) from orders where o_orderkey % 2 = 0) as even from orders
+        )
+        select case when k % 2 = 0 then 'a' else 'b' end as run_id, NUM_DOCFIS, COD_ESTAB,
+          1000 + place + case when k % 2 = 0 then 0 else even end as NUM_CONTROLE_DOCTO
+        from ({HEADER_VALID}) join numbered on k = cast(NUM_DOCFIS as bigint)""",
+    "stream_import": f"select * exclude (NUM_CONTROLE_DOCTO) from ({HEADER_VALID})",
     "doc_class": sql(
         [DOC],
         "select k as doc_key, case when goods then 'NFE' when model = '57' then 'YD' else 'YJ' end as COD_DOCTO, "
