@@ -21,7 +21,7 @@ from fiscalmill.operators.partners import new_partners
 from fiscalmill.plans import batch, runs, variants
 from fiscalmill.session import tune
 from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT, PARTNER_LAYOUT
-from fiscalmill.sources import sample, schema, sinks, staging, xml
+from fiscalmill.sources import parameters, sample, schema, sinks, staging, xml, xml_splits
 from fiscalmill.streaming import intake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +155,21 @@ def tag_unify(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def split_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of both vocabularies in files without line breaks, each file read by several tasks."""
+    landing = staging.new_folder(spark, "landing")
+    texts = flat(World(spark, folder).texts().unionByName(sample.bad_texts(spark, folder)))
+    texts.select("text").coalesce(2).write.option("lineSep", " ").text(landing)
+    docs = xml.readable(xml.parse_documents(xml_splits.scan_documents(spark, [landing])))
+    return docs.select(
+        E.document_number(E.doc("ide.nNF"), E.doc("ide.nCT")).alias("NUM_DOCFIS"),
+        F.col("protNFe.infProt.chNFe").alias("access_key"),
+        F.size(E.doc("det")).alias("items"),
+        E.doc("emit.enderEmit.xLgr").alias("street"),
+    )
+
+
 @query
 def schema_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Known schema extended by what the files hold, as leaf paths and types."""
@@ -472,6 +487,20 @@ def param_load(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.drop("ID_PARAM_DET")
 
 
+@query
+def param_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored parameters after the configured group was replaced, twice with the same mapping, and read back."""
+    w = World(spark, folder)
+    mapping = sample.product_mapping(w.table("part"), w.settings).withColumn(
+        "DESCRICAO", F.repeat(F.concat("DESCRICAO", F.lit(" ")), 40)
+    )
+    path = staging.new_folder(spark, "parameters")
+    parameters.store(w.master.details, path)
+    for _ in range(2):
+        parameters.replace(spark, path, w.master.heads, mapping, w.settings)
+    return parameters.read(spark, path).drop("ID_PARAM_DET")
+
+
 # Items
 
 

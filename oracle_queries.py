@@ -384,6 +384,12 @@ ORACLES: dict[str, str] = {
         [DOC],
         "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc" + PARTS + " group by all",
     ),
+    "split_scan": sql(
+        [DOC],
+        f"select {pad('k', 9)} as NUM_DOCFIS, chave as access_key, "
+        "cast(case when goods and goods_lines > 0 then goods_lines end as int) as items, "
+        "'Rua cte ' || c_mktsegment || ' ' || c_name as street from doc" + PARTS,
+    ),
     "schema_feedback": sql(
         [DOC],
         f"select {pad('k', 9)} as NUM_DOCFIS, case when goods and k % 13 = 0 then '2' else '1' end as run_id, "
@@ -520,3 +526,4 @@ ORACLES: dict[str, str] = {
     "error_csv": ITEM_ERROR,
     "preview": sql([DOC], "select k as doc_key, model from doc order by k limit 10"),
 }
+ORACLES["param_replace"] = ORACLES["param_load"]
