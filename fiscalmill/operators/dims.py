@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +26,15 @@ def establishments(estab: DataFrame, states: DataFrame, settings: Settings) -> D
     return with_state(chosen, states)
 
 
+def matched(df: DataFrame, table: DataFrame, on: dict[str, Column], take: dict[str, str]) -> DataFrame:
+    """Inner join to a lookup table of any size: broadcast behind its row count, else with frequent keys split."""
+    found = left_lookup(df, Lookup(table.withColumn("_there", F.lit(True))), on, {**take, "_there": "_there"}, df.columns)
+    return found.where("_there").drop("_there")
+
+
 def with_state(df: DataFrame, states: DataFrame) -> DataFrame:
-    """Adds UF. States are a short list; Spark broadcasts them by their known size."""
-    named = states.select("IDENT_ESTADO", F.col("COD_ESTADO").alias("UF"))
-    return df.join(named, "IDENT_ESTADO").select(df["*"], "UF")
+    """Adds UF; rows without a known state drop out."""
+    return matched(df, states, {"IDENT_ESTADO": F.col("IDENT_ESTADO")}, {"UF": "COD_ESTADO"})
 
 
 def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -65,7 +70,7 @@ def parameters(details: DataFrame, heads: DataFrame, name: str, settings: Settin
     """Detail rows of one parameter of the configured group."""
     group = heads.where(F.col("NOME_FRAMEWORK") == settings.param_framework).select("ID_PARAMETROS")
     rows = details.where(F.col("NOME_PARAM") == name)
-    return rows.join(group, rows["ID_PARAMETRO"] == group["ID_PARAMETROS"]).select(details["*"])
+    return matched(rows, group, {"ID_PARAMETROS": F.col("ID_PARAMETRO")}, {})
 
 
 def cfop_map(details: DataFrame, heads: DataFrame, settings: Settings) -> DataFrame:
@@ -106,7 +111,8 @@ def product_map(
     """Product key to internal product and its unit, from the newest product version."""
     mapped = parameters(details, heads, settings.product_param, settings)
     newest = latest_products(products).select("COD_PRODUTO", "IDENT_UND_PADRAO")
-    unit_of = newest.join(units.select("IDENT_UND_PADRAO", "COD_UND_PADRAO"), "IDENT_UND_PADRAO", "left")
+    named = {"COD_UND_PADRAO": "COD_UND_PADRAO"}
+    unit_of = left_lookup(newest, Lookup(units), {"IDENT_UND_PADRAO": F.col("IDENT_UND_PADRAO")}, named, ["COD_PRODUTO"])
     take = {"cod_und_padrao": "COD_UND_PADRAO"}
     joined = left_lookup(mapped, Lookup(unit_of), {"COD_PRODUTO": F.col("VALOR")}, take, ["CONTEUDO", "VALOR"])
     return joined.select(
@@ -166,6 +172,15 @@ class Dimensions:
     def small(self) -> bool:
         return all(getattr(self, f.name).small for f in fields(self))
 
+    def limited(self, broadcast_rows: int) -> Dimensions:
+        """The same tables, broadcast up to another number of rows."""
+        return Dimensions(**{f.name: replace(getattr(self, f.name), broadcast_rows=broadcast_rows) for f in fields(self)})
+
+    def reduced(self, keys: dict[str, tuple[str, DataFrame]]) -> Dimensions:
+        """Tables too large to broadcast cut down to the keys that a batch has: table -> (its key column, keys)."""
+        wanted = {n: k for n, k in keys.items() if not getattr(self, n).small}
+        return replace(self, **{n: getattr(self, n).only(column, found).staged(n) for n, (column, found) in wanted.items()})
+
     def staged(self) -> Dimensions:
         """Every table written once, side by side: each is small work beside the documents."""
         names = [f.name for f in fields(self)]

@@ -67,3 +67,23 @@ def resolve(docs: DataFrame, dims: Dimensions, settings: Settings, spread: list[
     """Documents with establishment and issuer, the common input of the header and item tables."""
     placed = receiving_establishment(docs, dims.establishments, settings, spread)
     return issuer_partner(placed, dims, spread, base=docs)
+
+
+def without_items(docs: DataFrame) -> DataFrame:
+    """Documents that keep of their items only the operation code of the first one, which headers read."""
+    first = F.slice(E.doc("det"), 1, 1)
+    code = F.transform(first, lambda i: F.struct(F.struct(i["prod"]["CFOP"].alias("CFOP")).alias("prod")))
+    return docs.withColumn("NFe", F.col("NFe").withField("infNFe", F.col("NFe.infNFe").withField("det", code)))
+
+
+def batch_keys(docs: DataFrame, settings: Settings) -> dict[str, tuple[str, DataFrame]]:
+    """Keys by which documents and their items ask the tables that can be large."""
+    cnpj, cpf = E.doc("emit.CNPJ"), E.doc("emit.CPF")
+    ncm = docs.select(F.explode(F.transform(E.doc("det"), lambda i: i["prod"]["NCM"])).alias("k"))
+    freight = [F.lit(k).alias("k") for k in (settings.freight_product_key, settings.other_freight_product_key)]
+    fixed = docs.sparkSession.range(1).select(F.explode(F.array(*freight)).alias("k"))
+    return {
+        "partners_by_tax_id": ("tax_key", docs.select(E.tax_key(cnpj, cpf).alias("k"))),
+        "overrides": ("CNPJ", docs.select(cnpj.alias("k"))),
+        "products": ("ncm_key", ncm.unionByName(fixed).select(E.product_key(F.col("k")).alias("k"))),
+    }

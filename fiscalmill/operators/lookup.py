@@ -41,6 +41,11 @@ class Lookup:
         """Fewer rows; a known size stays as the upper bound it is."""
         return replace(self, frame=self.frame.where(condition))
 
+    def only(self, column: str, keys: DataFrame) -> Lookup:
+        """The rows whose key is among `keys`, a frame of one column in which keys may repeat. The size is counted anew."""
+        distinct = keys.toDF(column).where(F.col(column).isNotNull()).distinct()
+        return replace(self, frame=self.frame.join(distinct, column, "left_semi"), known_rows=None)
+
     def staged(self, name: str) -> Lookup:
         """Written once with its row count, so that later joins neither recompute nor count it."""
         frame, rows = stage_counted(self.frame, name)

@@ -142,6 +142,18 @@ def xml_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return sinks.csv_round_trip(bad, staging.new_folder(spark, "quarantine"))
 
 
+@query
+def declared_encodings(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that declare ISO-8859-1 or UTF-8, some of the latter with a broken byte, read from one folder."""
+    landing = staging.new_folder(spark, "landing")
+    sample.encoded_lines(flat(World(spark, folder).texts())).write.text(landing)
+    docs = xml.parse_documents(xml.split_documents(xml.read_text_documents(spark, [landing], whole_files=False)))
+    return docs.select(
+        E.document_number(E.doc("ide.nNF"), E.doc("ide.nCT")).alias("NUM_DOCFIS"),
+        E.doc("emit.enderEmit.xLgr").alias("street"),
+    )
+
+
 @query
 def tag_unify(spark: SparkSession, folder: str) -> DataFrame:
     """Both document families read through one vocabulary; words inside the data stay as they are."""
@@ -229,8 +241,8 @@ def ingest_log(spark: SparkSession, folder: str) -> DataFrame:
         texts.where(arrived).select("text").write.mode("append").text(landing)
         failed = store.begin(spark, "failed")
         failed.write(runs.files_of_run(spark, landing, store, "failed"), "ingested")
-        runs.take_folder(spark, landing, store, run, whole_files=False)
-    runs.take_folder(spark, landing, store, "3", whole_files=False)
+        runs.take_folder(spark, landing, store, run, files="lines")
+    runs.take_folder(spark, landing, store, "3", files="lines")
     taken = store.runs.read(spark, "documents")
     return taken.groupBy("run_id", E.doc("ide.mod").alias("model")).agg(F.count(F.lit(1)).alias("documents"))
 

@@ -477,3 +477,15 @@ def newer_texts(texts: DataFrame) -> DataFrame:
     note = F.concat(F.lit("<infAdic><note>note "), F.col("doc_key").cast("string"), F.lit("</note></infAdic></infNFe>"))
     newer = F.replace(newer, F.lit("</infNFe>"), note)
     return texts.withColumn("text", F.when(is_newer(F.col("doc_key")), newer).otherwise(F.col("text")))
+
+
+def encoded_lines(texts: DataFrame) -> DataFrame:
+    """Lines with accents: a third in declared ISO-8859-1, a third in declared UTF-8, a third in UTF-8 with a broken byte."""
+    prolog = lambda name: F.lit(f'<?xml version="1.0" encoding="{name}"?>')
+    plain = F.replace(F.replace(F.col("text"), F.lit("\ufeff"), F.lit("")), F.lit("Rua cte"), F.lit("Rua São cte"))
+    accented = lambda name: F.concat(prolog(name), plain)
+    latin = F.encode(accented("iso-8859-1"), "ISO-8859-1")
+    broken = F.unhex(F.replace(F.hex(accented("UTF-8")), F.hex(F.lit("São")), F.lit("53E36F")))
+    k = F.col("doc_key") % 3
+    raw = F.when(k == 0, latin).when(k == 1, F.encode(accented("UTF-8"), "UTF-8")).otherwise(broken)
+    return texts.select(raw.cast("string").alias("value"))

@@ -384,6 +384,11 @@ ORACLES: dict[str, str] = {
         [DOC],
         "select case when k % 2 = 0 then '1' else '2' end as run_id, model, count(*) as documents from doc" + PARTS + " group by all",
     ),
+    "declared_encodings": sql(
+        [DOC],
+        f"select {pad('k', 9)} as NUM_DOCFIS, 'Rua S' || case when k % 3 = 2 then chr(65533) else 'ã' end || 'o cte ' "
+        "|| c_mktsegment || ' ' || c_name as street from doc" + PARTS,
+    ),
     "split_scan": sql(
         [DOC],
         f"select {pad('k', 9)} as NUM_DOCFIS, chave as access_key, "

@@ -4,12 +4,13 @@ from pyspark.sql import functions as F
 from fiscalmill.operators import headers as H
 from fiscalmill.operators import items as I
 from fiscalmill.operators.dims import Dimensions, dimensions
-from fiscalmill.operators.documents import resolve
+from fiscalmill.operators import validate as V
+from fiscalmill.operators.documents import batch_keys, resolve, without_items
 from fiscalmill.operators.lookup import Lookup
 from fiscalmill.plans import batch
 from fiscalmill.plans.queries import QUERIES, World
 from fiscalmill.settings import HEADER_LAYOUT, ITEM_LAYOUT, PARTNER_LAYOUT
-from fiscalmill.sources import sample, sinks
+from fiscalmill.sources import sample, sinks, xml
 from fiscalmill.sources.staging import stage
 from fiscalmill.streaming import intake
 from tests.conftest import rows
@@ -127,3 +128,37 @@ def test_unseen_files(spark, tmp_path):
     listing = intake.unseen_files(spark, str(tmp_path), spark.createDataFrame([], "path string"))
     log = listing.where(F.col("path").endswith("a.xml"))
     assert [r["path"][-5:] for r in intake.unseen_files(spark, str(tmp_path), log).collect()] == ["b.xml"]
+
+
+@pytest.fixture(scope="module")
+def parsed(spark, folder):
+    texts = World(spark, folder).texts().unionByName(sample.bad_texts(spark, folder))
+    return stage(xml.parse_documents(texts), "parsed").drop("doc_key")
+
+
+@pytest.mark.parametrize("largest", [0, 60, 200_000])
+def test_tables_too_large_to_broadcast_give_the_same_rows(spark, folder, parsed, largest):
+    """No table, some tables and all tables are broadcast; with none, documents and items take ways of their own."""
+    w = World(spark, folder)
+    out = batch.build(parsed, w.master, w.settings, sample.COUNTER, broadcast_rows=largest)
+    valid = lambda df, codes: df.where(V.valid(codes, w.settings))
+    assert rows(valid(out.headers, V.HEADER_CODES).select(*HEADER_LAYOUT)) == rows(QUERIES["header_valid"](spark, folder))
+    assert rows(valid(out.items, V.ITEM_CODES).select(*ITEM_LAYOUT)) == rows(QUERIES["item_valid"](spark, folder))
+    assert rows(out.partners) == rows(QUERIES["new_partners_table"](spark, folder))
+    assert out.quarantine.count() == sample.bad_texts(spark, folder).count()
+
+
+def test_large_lookups_shuffle_no_items(spark, folder, parsed):
+    w = World(spark, folder)
+    dims = dimensions(w.master, w.settings).limited(0)
+    plan = resolve(without_items(xml.readable(parsed)), dims, w.settings, ["filename"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" in plan and "vUnCom" not in plan and "qCom" not in plan
+
+
+def test_tables_are_cut_down_to_the_keys_of_a_batch(spark, folder, parsed):
+    w = World(spark, folder)
+    dims = dimensions(w.master, w.settings).limited(50)
+    few = parsed.where("NFe.infNFe.ide.nNF < 20")
+    cut = dims.reduced(batch_keys(few, w.settings))
+    assert cut.partners_by_tax_id.small and 0 < cut.partners_by_tax_id.rows < dims.partners_by_tax_id.rows
+    assert cut.products.rows < dims.products.rows and cut.establishments is dims.establishments
