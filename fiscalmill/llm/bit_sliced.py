@@ -15,7 +15,8 @@ Queries and index blocks meet in blocks: each query goes to every index block on
 group); the best k of every block are then ranked per query. Nothing is sampled, and no row is left out.
 
 Defined cases: null vectors, vectors with null or non-finite components and rows without an id take no part; vectors of
-another length than the query's are no candidates; scaled components are limited to 32 bits; rows that repeat an id are
+another length than the query's are no candidates; scaled components are limited to 2**61 either way; scores are ranked
+exactly (up to 38 digits), and one that does not fit a long is null; rows that repeat an id are
 candidates each on their own, but never for a query of the same id; ties go to the smaller id; an empty table gives an
 empty result; further columns are passed over.
 """
@@ -23,6 +24,8 @@ empty result; further columns are passed over.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -38,6 +41,7 @@ QUERIES_AT_ONCE = 16
 QUERY_GROUP = 512
 SLICES = 8
 K = 10
+LARGEST = float(1 << 61)
 
 BLOCKS = "block long, dims int, ids binary, values binary"
 
@@ -46,7 +50,7 @@ def quantised(embeddings: DataFrame) -> DataFrame:
     """vec_id and the whole-number components of the vectors that take part."""
     own = own_columns(embeddings, "vec_id", "embedding")
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    limited = lambda x: F.greatest(F.least(F.floor(x.cast("double") * SCALE), F.lit(2**31 - 1)), F.lit(-(2**31))).cast("int")
+    limited = lambda x: F.floor(F.greatest(F.least(x.cast("double") * SCALE, F.lit(LARGEST)), F.lit(-LARGEST))).cast("long")
     valid = own.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(usable)
     return valid.select(F.col("vec_id").cast("long"), F.transform("embedding", limited).alias("v"))
 
@@ -56,7 +60,7 @@ def _pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for dims, rows in part.groupby(part["v"].map(len)):
             for start in range(0, len(rows), BLOCK):
                 some = rows.iloc[start : start + BLOCK]
-                values = np.stack([np.asarray(v, np.int32) for v in some["v"]]) if dims else np.zeros((len(some), 0), np.int32)
+                values = np.stack([np.asarray(v, np.int64) for v in some["v"]]) if dims else np.zeros((len(some), 0), np.int64)
                 ids = some["vec_id"].to_numpy(np.int64)
                 yield pd.DataFrame({"block": [0], "dims": [int(dims)], "ids": [ids.tobytes()], "values": [values.tobytes()]})
 
@@ -170,7 +174,8 @@ def search_block(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, que
         slices, width, cut = np.zeros((0, SLICES, (n + 63) // 64), np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     else:
         slices, _, width, cut = slices_of(values)
-    wide = values.astype(np.int64)
+    # Sums that could pass 64 bits are made of Python's integers.
+    exact = int(np.abs(values).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, dims) >> 62 > 0
     real = np.zeros(slices.shape[-1] * 64, np.uint8)
     for start in range(0, len(queries), QUERIES_AT_ONCE):
         some, own = queries[start : start + QUERIES_AT_ONCE], query_ids[start : start + QUERIES_AT_ONCE]
@@ -182,16 +187,23 @@ def search_block(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, que
         for i, query_id in enumerate(own):
             real[:n] = ids != query_id
             candidates[i] = np.packbits(real, bitorder="little").view(np.uint64)
-        bounds = (np.abs(some) * ((1 << cut) - 1)).sum(axis=1)
+        size, lost = np.abs(some), (1 << cut) - 1
+        bounds = [sum(map(mul, q, lost.tolist())) for q in size.tolist()] if exact else (size * lost).sum(axis=1)
         for i, value in enumerate(kth_value(total, candidates, k)):
             boundary = at_least(total[i], max(0, value - int(bounds[i]))) & candidates[i]
             rows = np.flatnonzero(np.unpackbits(boundary.view(np.uint8), bitorder="little"))
-            scores = wide[rows] @ some[i]
-            for j in np.lexsort((ids[rows], -scores))[:k]:
+            if exact:
+                scores = [sum(map(mul, v, some[i].tolist())) for v in values[rows].tolist()]
+                best = sorted(range(len(rows)), key=lambda j: (-scores[j], ids[rows[j]]))[:k]
+            else:
+                scores = values[rows] @ some[i]
+                best = np.lexsort((ids[rows], -scores))[:k]
+            for j in best:
                 yield start + i, int(ids[rows[j]]), int(scores[j])
 
 
-FOUND = "query long, query_id long, vec_id long, score long"
+FOUND = "query long, query_id long, vec_id long, score decimal(38,0)"
+MOST = 10**38 - 1
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -205,22 +217,22 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     asked = asked.withColumn("group", F.pmod(F.xxhash64("query"), F.lit(groups)).cast("int")).join(blocks, "length")
 
     def search(key: tuple, blocks: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, int, int]] = []
+        out: list[tuple[int, int, int, Decimal]] = []
         for _, row in blocks.iterrows():
             if not len(asked):
                 break
             ids = np.frombuffer(row["ids"], np.int64)
-            values = np.frombuffer(row["values"], np.int32).reshape(len(ids), row["dims"])
+            values = np.frombuffer(row["values"], np.int64).reshape(len(ids), row["dims"])
             names, query_ids = asked["query"].to_numpy(), asked["query_id"].to_numpy()
             vectors = np.stack([np.asarray(v, np.int64) for v in asked["v"]]).reshape(len(asked), row["dims"])
-            out += [(int(names[i]), int(query_ids[i]), x, s) for i, x, s in search_block(ids, values, query_ids, vectors, k)]
+            out += [(int(names[i]), int(query_ids[i]), x, Decimal(max(-MOST, min(MOST, s)))) for i, x, s in search_block(ids, values, query_ids, vectors, k)]
         return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"])
 
     grouped = left.groupBy("block", "group").cogroup(asked.withColumnRenamed("group", "to_group").groupBy("to_block", "to_group"))
     found = grouped.applyInPandas(search, FOUND)
     best = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", F.col("score").try_cast("long").alias("score"))
 
 
 ORACLE = f"""

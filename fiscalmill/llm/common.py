@@ -34,6 +34,14 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """A column name that the frame does not have yet, without regard to case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """A query whose session sends this library's modules to its executors, once, wherever the driver was started."""
 

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fiscalmill.llm.common import let, own_columns, words_of
+from fiscalmill.llm.common import free_name, let, own_columns, words_of
 
 SAMPLE_ROWS = 400
 """Rows of the sample on which costs and selectivities are measured. They set the order only."""
@@ -152,21 +152,22 @@ def keep(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     Here every count is made only when the cascade comes to the rule that needs it; words and windows are made once.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.col("__words")
+    names = [free_name(docs, n) for n in ("__words", "__hashes", "__windows")]
+    words, hashes, windows = map(F.col, names)
     # A filter is not moved below explode: it would make the words anew for each word.
     held = lambda rows, name, value: rows.withColumn(name, F.explode(F.array(value)))
-    hashed = lambda rows: held(held(rows, "__words", words_of(text)), "__hashes", word_hashes(words))
-    split = lambda rows: held(hashed(rows), "__windows", window_hashes(F.col("__hashes"))).drop("__hashes")
+    hashed = lambda rows: held(held(rows, names[0], words_of(text)), names[1], word_hashes(words))
+    split = lambda rows: held(hashed(rows), names[2], window_hashes(hashes)).drop(names[1])
     lazily = rules(
         F.size(words).cast("long"),
         F.char_length(F.array_join(words, "")).cast("long"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         duplicate_lines(text),
-        repeated_words(F.col("__windows")),
+        repeated_words(windows),
         text,
     )
     ordered = order(split(docs.limit(sample_rows)), lazily)
-    return split(docs).where(~rejected(ordered)).drop("__words", "__windows")
+    return split(docs).where(~rejected(ordered)).drop(names[0], names[2])
 
 
 ORACLE = r"""

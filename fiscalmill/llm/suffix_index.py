@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from fiscalmill.llm import tokens
 from fiscalmill.llm.anchors import Shape, context, occurrences, packed_texts, symbols_of, tag_of, unpack
+from fiscalmill.llm.common import free_name
 from fiscalmill.sources.staging import stage
 
 LENGTH = 200
@@ -295,17 +296,17 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The documents without their repeats, with all their columns; n_chars counts the text that is left."""
-    number = F.monotonically_increasing_id()
-    numbered = stage(docs.withColumn("__row", number), "numbered")
-    own = numbered.select(F.col("__row").alias("doc_id"), "text")
+    row, rest = free_name(docs, "row"), free_name(docs, "rest")
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    own = numbered.select(F.col(row).alias("doc_id"), "text")
 
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             texts = [rest_of(t, spans_of(t, m)).decode("utf-8", "ignore") for t, m in zip(unpack(part["packed"]), part["marks"], strict=True)]
-            yield pd.DataFrame({"__row": part["doc_id"], "__text": texts})
+            yield pd.DataFrame({row: part["doc_id"], rest: texts})
 
-    left = marked_texts(own).mapInPandas(cut, "__row long, __text string")
-    joined = numbered.join(left, "__row")
-    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col("__text"))
+    left = marked_texts(own).mapInPandas(cut, f"`{row}` long, `{rest}` string")
+    joined = numbered.join(left, row)
+    text = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.col(rest))
     changed = {"text": text, "n_chars": F.char_length(text).cast("long")}
     return joined.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

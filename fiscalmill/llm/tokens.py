@@ -7,12 +7,16 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 BATCH_BYTES = 1 << 19
 """Bytes of text that are handled at once. A longer text makes a batch of its own."""
 
+LONG_WORD = 32
+"""Longer words are hashed one by one: on long regular words, a polynomial modulo 2 ** 64 gives equal values."""
+
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -67,6 +71,9 @@ def words_of(texts: list[bytes], lower: bool = False) -> Words:
     summed = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(raw)), out=summed[1:])
     hashes = mix((summed[ends] - summed[starts]) * powers(INVERSE, len(raw))[starts] + (ends - starts).astype(np.uint64))
+    view = memoryview(raw)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(view[starts[i] : ends[i]])
     return Words(raw, starts, ends, offsets, hashes)
 
 

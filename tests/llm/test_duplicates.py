@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from fiscalmill.llm import graph, near_dedup, suffix_index, suffix_trees
+from fiscalmill.llm import graph, near_dedup, quality_rules, suffix_index, suffix_trees, tokens
 
 from .conftest import bag, by_sql, invented
 
@@ -186,3 +186,33 @@ def test_repeated_words_equal_sql(edge_docs, no_docs):
     assert bag(found) == by_sql(suffix_trees.ORACLE, sorted(found.columns), documents=docs)
     assert suffix_trees.repeats(edge_docs).count() == edge_docs.count()
     assert suffix_trees.repeats(no_docs).count() == 0
+
+
+def doubling_words(n):
+    """Two different words of n letters: a b b a ..., and the same with the letters changed about."""
+    letters = "a"
+    while len(letters) < n:
+        letters += letters.translate({97: 98, 98: 97})
+    return letters, letters.translate({97: 98, 98: 97})
+
+
+@pytest.mark.parametrize("length", [16, 32, 64, 1024, 4096])
+def test_regular_words_have_different_hashes(spark, length):
+    a, b = doubling_words(length)
+    first, second = tokens.words_of([a.encode(), b.encode()]).hashes
+    assert first != second
+    if length == 1024:
+        shared = " ".join(invented(3, 12))
+        docs = spark.createDataFrame([(1, f"{a} {shared}"), (2, f"{b} {shared}"), (3, a), (4, b)], "doc_id long, text string")
+        assert {r["n_removed"] for r in suffix_trees.repeats(docs).collect()} == {0}
+        assert {r["component_id"] for r in near_dedup.groups(docs).collect()} == {1, 2, 3, 4}
+
+
+def test_stages_keep_columns_with_names_of_their_own(spark):
+    names = ["__words", "__hashes", "__windows", "__row", "__text", "row", "rest", "Row_"]
+    text = " ".join(invented(5, 60))
+    docs = spark.createDataFrame([(1, text, *range(8)), (2, f"{text} {text[:250]}", *range(8, 16))], ["doc_id", "text", *names])
+    for left in (quality_rules.keep(docs), suffix_index.remove_repeats(docs)):
+        assert left.columns == docs.columns
+        assert Counter(tuple(r[n] for n in names) for r in left.collect()) <= Counter([tuple(range(8)), tuple(range(8, 16))])
+    assert suffix_index.remove_repeats(docs).count() == 2

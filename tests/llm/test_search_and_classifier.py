@@ -65,3 +65,20 @@ def test_classifier_edges(spark, edge_docs, no_docs):
     assert len({r["score"] for r in one_class}) == 1
     assert quality_classifier.classify(no_docs, labels).count() == 0
     assert {r["score"] for r in quality_classifier.classify(edge_docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_large_components_are_scored_exactly(spark):
+    """Components beyond 32 bits, products beyond 64 bits, and a sum that only whole numbers get right."""
+    big, small = 3_000_000.0, 0.5
+    data = [(0, [1.0, 0.0]), (1, [big, 0.0]), (2, [big + 1e6, 0.0]), (3, [big - 5e5, 0.0]), (4, [-big, small])]
+    wide = [(100, [2.0**45, 2.0**45]), (5, [2.0**44, -(2.0**44)]), (6, [2.0**44, -(2.0**44) + 2**10])]
+    df = spark.createDataFrame(data + wide, "vec_id long, embedding array<double>")
+    vectors = bit_sliced.quantised(df)
+    found = bit_sliced.top_k(vectors, vectors.where("vec_id % 100 = 0")).collect()
+    whole = {i: [int(1024 * x) for x in v] for i, v in data + wide}
+    for query in (0, 100):
+        scores = {i: sum(a * b for a, b in zip(v, whole[query], strict=True)) for i, v in whole.items() if i != query}
+        wanted = sorted(scores, key=lambda i: (-scores[i], i))[:10]
+        got = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == query)
+        fits = lambda s: s if -(1 << 63) <= s < 1 << 63 else None
+        assert got == [(n + 1, i, fits(scores[i])) for n, i in enumerate(wanted)]
