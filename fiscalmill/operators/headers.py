@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fiscalmill.functions import expr as E
 from fiscalmill.operators.dims import Dimensions
-from fiscalmill.operators.items import CFOP_COLUMNS, SUM_KEYS
+from fiscalmill.operators.items import CFOP_COLUMNS, SERIES, SUM_KEYS
 from fiscalmill.operators.lookup import HOT_ROWS, left_lookup, salted_join
 from fiscalmill.operators.numbering import number_rows
 from fiscalmill.settings import HEADER_LAYOUT, Settings
@@ -76,6 +76,7 @@ def unnumbered_headers(
 
     # Company, establishment and partner come from the sums, so a header without matching items has none.
     keys = [f"_doc_{k}" for k in SUM_KEYS if k != "NUM_DOCFIS"] + ["NUM_DOCFIS"]
+    keys += [SERIES] if SERIES in sums.columns else []
     named = sums.select(
         "*",
         *[F.col(k).alias(f"_doc_{k}") for k in SUM_KEYS if k != "NUM_DOCFIS"],

@@ -144,6 +144,7 @@ def item_table(
 
 
 SUM_KEYS = ["COD_EMPRESA", "COD_ESTAB", "NUM_DOCFIS", "COD_FIS_JUR"]
+SERIES = "SERIE_DOCFIS"
 
 
 def _sums() -> list[Column]:
@@ -157,9 +158,13 @@ def _sums() -> list[Column]:
     ]
 
 
-def item_sums(items: DataFrame) -> DataFrame:
-    """Tax bases per company, establishment, number, partner and partner kind."""
-    return items.groupBy(*SUM_KEYS, F.col("IND_FIS_JUR").alias("IDENT_FIS_JUR")).agg(*_sums())
+def item_sums(items: DataFrame, by_series: bool = False) -> DataFrame:
+    """Tax bases per company, establishment, number, partner and partner kind.
+
+    `by_series` keeps documents apart that differ in their series only; headers then join on the series, too.
+    """
+    keys = [*SUM_KEYS, SERIES] if by_series else SUM_KEYS
+    return items.groupBy(*keys, F.col("IND_FIS_JUR").alias("IDENT_FIS_JUR")).agg(*_sums())
 
 
 def item_sums_by_number(items: DataFrame) -> DataFrame:

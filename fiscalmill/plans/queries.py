@@ -16,7 +16,7 @@ from fiscalmill.operators import items as I
 from fiscalmill.operators import numbering as N
 from fiscalmill.operators import validate as V
 from fiscalmill.operators.documents import receiving_establishment, resolve
-from fiscalmill.operators.lookup import left_lookup
+from fiscalmill.operators.lookup import Lookup, left_lookup
 from fiscalmill.operators.partners import new_partners
 from fiscalmill.plans import batch, runs, variants
 from fiscalmill.session import tune
@@ -543,6 +543,51 @@ def header_items_inner(spark: SparkSession, folder: str) -> DataFrame:
     return variants.headers_with_sums(w.resolved, I.item_sums_by_number(w.items), KEY, rows=w.documents)
 
 
+# The first layout
+
+
+def first_layout(spark: SparkSession, folder: str) -> tuple[World, DataFrame, DataFrame]:
+    """Resolved goods invoices with all their items, and the items of the first layout."""
+    w = World(spark, folder)
+    docs = staging.stage(sample.full_documents(spark, folder), "documents")
+    resolved = staging.stage(variants.first_resolved(docs, w.staged_dims, w.settings, KEY), "resolved")
+    products = variants.first_product_map(w.master.details, w.master.heads, w.master.products, w.master.units, w.settings)
+    lookup = Lookup(products).staged("first-products")
+    return w, resolved, variants.first_items(resolved, w.staged_dims, lookup, w.settings, KEY)
+
+
+@query
+def first_items(spark: SparkSession, folder: str) -> DataFrame:
+    return first_layout(spark, folder)[2].select(*variants.FIRST_ITEM_LAYOUT)
+
+
+@query
+def first_headers(spark: SparkSession, folder: str) -> DataFrame:
+    w, resolved, items = first_layout(spark, folder)
+    heads = variants.first_headers(resolved, items, w.staged_dims, w.settings, sample.COUNTER, KEY)
+    return heads.select(*variants.FIRST_HEADER_LAYOUT)
+
+
+@query
+def first_partners(spark: SparkSession, folder: str) -> DataFrame:
+    w = World(spark, folder)
+    return variants.first_new_partners(w.docs, w.dims)
+
+
+@query
+def places_of_document(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.places_of_document(World(spark, folder).docs, KEY)
+
+
+@query
+def item_sums_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers joined to item sums that keep the series in their key."""
+    w = World(spark, folder)
+    sums = I.item_sums(w.items, by_series=True)
+    heads = H.unnumbered_headers(w.resolved, sums, w.staged_dims, w.settings, KEY, rows=w.documents)
+    return heads.select("NUM_DOCFIS", "SERIE_DOCFIS", "COD_ESTAB", "BASE_OUTR_IPI", "BASE_OUTR_ICMS", "BASE_ISEN_ICMS")
+
+
 # Headers
 
 

@@ -298,6 +298,68 @@ newp as (
     select 1 from x04 where lpad(x04.CPF_CGC, 14, '0') = lpad(coalesce(doc.cnpj, doc.cpf), 14, '0'))
 )"""
 
+FIRST = f"""
+every_version as (
+  select p_partkey, (unit + 3) % 25 as u from brand where p_partkey % 30 <> 7
+  union all select p_partkey, unit from brand where p_partkey % 30 <> 7
+  union all select p_partkey, unit % 25 + 1 from brand where p_partkey % 50 = 1 and p_partkey % 30 <> 7
+),
+fprod as (
+  select distinct case when b.p_partkey % 20 = 1 then {pad('b.p_partkey', 7)} else {pad('b.p_partkey', 8)} end as cod_ncm,
+    cast(b.p_partkey as varchar) as material, units.p_brand as unit_code
+  from brand b left join every_version v on v.p_partkey = b.p_partkey left join units on units.unit = v.u
+  where b.p_partkey % 10 <> 0
+),
+fdoc as (
+  select doc.*, own.COD_EMPRESA as emp, own.COD_ESTAB as est, coalesce(x04.IND_FIS_JUR, '1') as kind,
+    coalesce(x04.COD_FIS_JUR, 'M' || substr(coalesce(cnpj, cpf), 1, 3) || right(coalesce(cnpj, cpf), 4)) as code
+  from doc left join own on own.CGC = dest
+  left join x04 on lpad(x04.CPF_CGC, 14, '0') = lpad(coalesce(cnpj, cpf), 14, '0')
+  where goods
+),
+fitem as (
+  select emp as COD_EMPRESA, est as COD_ESTAB, '20240131' as DATA_FISCAL, '1' as MOVTO_E_S, '1' as NORM_DEV,
+    'NFE' as COD_DOCTO, kind as IND_FIS_JUR, code as COD_FIS_JUR, {pad('d.k', 9)} as NUM_DOCFIS, serie as SERIE_DOCFIS,
+    '8' as IND_PRODUTO, coalesce(m.material, 'NP') as COD_PRODUTO, cast(ln as varchar) as NUM_ITEM,
+    coalesce(f.novo_cfo, 'NP') as COD_CFO, coalesce(f.novo_natop, 'NP') as COD_NATUREZA_OP,
+    {fp('l_quantity', 6, 11)} as QUANTIDADE, 'UN' as COD_MEDIDA, {pad('p', 8)} as COD_NBM,
+    {fp('case when avulsa then 0 else coalesce(unit_price, 0) end', 4, 15)} as VLR_UNIT,
+    {fp('case when avulsa then 0 else vprod end', 2, 15)} as VLR_ITEM,
+    case when ln between 1 and 7 then cast(s % 3 as varchar) end as COD_SITUACAO_A,
+    case when taxed then '90' else '41' end as COD_SITUACAO_B, '00003' as COD_FEDERAL,
+    case when taxed then '3' else '2' end as TRIB_ICMS,
+    cast(case when avulsa then 0 else vprod - coalesce(l.vdesc, 0) + coalesce(vipi, 0) end as decimal(18,2)) as base_amount,
+    {fp('base_amount', 2, 15)} as BASE_ICMS, '3' as TRIB_IPI, BASE_ICMS as BASE_IPI, BASE_ICMS as VLR_CONTAB_ITEM,
+    '70' as COD_SITUACAO_PIS, '70' as COD_SITUACAO_COFINS, '20240131' as DAT_LANC_PIS_COFINS, 'N' as IND_BEM_PATR,
+    coalesce(m.unit_code, 'NP') as COD_UND_PADRAO,
+    {fp('case when avulsa then 0 else coalesce(l.vdesc, 0) end', 2, 15)} as VLR_DESCONTO, '03' as COD_TRIB_IPI
+  from line l join fdoc d on d.k = l.k
+  left join cfopmap f on f.cod_cfo = cast(5101 + p % 40 as varchar)
+  left join fprod m on m.cod_ncm = {pad('p', 8)}
+),
+fsums as (select COD_EMPRESA, COD_ESTAB, NUM_DOCFIS, {_SUM} from fitem group by all),
+fheader as (
+  select emp as COD_EMPRESA, est as COD_ESTAB, '1' as MOVTO_E_S, '1' as NORM_DEV, 'NFE' as COD_DOCTO,
+    kind as IDENT_FIS_JUR, code as COD_FIS_JUR, {pad('d.k', 9)} as NUM_DOCFIS, serie as SERIE_DOCFIS,
+    strftime(o_orderdate + interval 1 day, '%Y%m%d') as DATA_EMISSAO, '1' as COD_CLASS_DOC_FIS, model as COD_MODELO,
+    coalesce(f.novo_cfo, 'NP') as COD_CFO, substr(refkey, 1, 12) as NUM_DOCFIS_REF,
+    case when refkey is not null then serie end as SERIE_DOCFIS_REF, '20240131' as DATA_SAIDA_REC,
+    {fp('case when avulsa then 0 else total end', 2, 15)} as VLR_PRODUTO,
+    {fp('case when avulsa then 0 else total - coalesce(vdesc, 0) end', 2, 15)} as VLR_TOT_NOTA, 'N' as SITUACAO,
+    1000 + row_number() over (order by d.k) as NUM_CONTROLE_DOCTO, '3' as IND_FATURA, chave as NUM_AUTENTIC_NFE,
+    '20240131' as DAT_LANC_PIS_COFINS,
+    {fp('case when avulsa then 0 else b.BASE_ISEN_ICMS end', 2, 15)} as BASE_ISEN_ICMS,
+    {fp('case when avulsa then 0 else b.BASE_OUTR_ICMS end', 2, 15)} as BASE_OUTR_ICMS,
+    {fp('case when avulsa then 0 else b.BASE_IPI end', 2, 15)} as BASE_OUTR_IPI, '55' as COD_MODELO_COTEPE,
+    case when avulsa then 'S' end as IND_NF_REG_ESPECIAL,
+    {fp('case when avulsa then 0 else coalesce(vdesc, 0) end', 2, 15)} as VLR_DESCONTO,
+    {fp('vdesc', 2, 15)} as VLR_ABAT_NTRIBUTADO
+  from fdoc d join fsums b on b.COD_EMPRESA = emp and b.COD_ESTAB = est and b.NUM_DOCFIS = {pad('d.k', 9)}
+  left join cfopmap f on f.cod_cfo = d.cfop
+)"""
+
+UP_TO_FIRST = [DOC, ESTAB, PARTNER, MAPS, LINE, FIRST]
+
 UP_TO_ISSUER = [DOC, ESTAB, ROLE, PARTNER, MAPS, ISSUER]
 UP_TO_ITEM = [*UP_TO_ISSUER, LINE, ITEM]
 UP_TO_HEADER = [*UP_TO_ITEM, SUMS, HEADER]
@@ -532,3 +594,26 @@ ORACLES: dict[str, str] = {
     "preview": sql([DOC], "select k as doc_key, model from doc order by k limit 10"),
 }
 ORACLES["param_replace"] = ORACLES["param_load"]
+ORACLES["first_items"] = sql(UP_TO_FIRST, "select * exclude (base_amount) from fitem")
+ORACLES["first_headers"] = sql(UP_TO_FIRST, "select * from fheader")
+ORACLES["first_partners"] = sql(
+    [DOC, PARTNER],
+    f"""select distinct '1' as IND_FIS_JUR,
+      'M' || substr(coalesce(cnpj, cpf), 1, 3) || right(coalesce(cnpj, cpf), 4) as COD_FIS_JUR,
+      strftime(o_orderdate + interval 1 day, '%Y%m%d') as DATA_X04, '1' as IND_CONTEM_COD, c_name as RAZAO_SOCIAL,
+      coalesce(cnpj, cpf) as CPF_CGC, ie as INSC_ESTADUAL, substr(c_name, 1, 50) as NOME_FANTASIA,
+      substr('Rua cte ' || c_mktsegment || ' ' || c_name, 1, 50) as ENDERECO, cast(c as varchar) as NUM_ENDERECO,
+      substr('Bairro ' || n || ' ' || c_mktsegment, 1, 20) as BAIRRO, 'Town ' || n as CIDADE, {state('n')} as UF,
+      {pad('n * 1000', 8)} as CEP, case when c % 5 <> 0 then '105' end as COD_PAIS, {town('n')} as COD_MUNICIPIO
+    from doc where goods and not exists (
+      select 1 from x04 where lpad(x04.CPF_CGC, 14, '0') = lpad(coalesce(doc.cnpj, doc.cpf), 14, '0'))""",
+)
+ORACLES["places_of_document"] = sql(
+    [DOC],
+    "select k as doc_key, uf_ini as UF_ORIG_DEST, uf_fim as UF_DESTINO, mun_ini as COD_MUNICIPIO_ORIG, "
+    "mun_fim as COD_MUNICIPIO_DEST from doc",
+)
+ORACLES["item_sums_series"] = sql(
+    UP_TO_HEADER,
+    "select NUM_DOCFIS, SERIE_DOCFIS, COD_ESTAB, BASE_OUTR_IPI, BASE_OUTR_ICMS, BASE_ISEN_ICMS from header",
+)
