@@ -62,7 +62,7 @@ class World:
 
     @cached_property
     def docs(self) -> DataFrame:
-        return sample.documents(self.spark, self.folder)
+        return sample.full_documents(self.spark, self.folder)
 
     @cached_property
     def _resolved(self) -> tuple[DataFrame, int]:
@@ -78,12 +78,11 @@ class World:
 
     @cached_property
     def raw_lines(self) -> DataFrame:
-        return sample.goods_lines(self.spark, self.folder)
+        return I.explode_items(self.docs).select(*KEY, "item")
 
     @cached_property
     def lines(self) -> DataFrame:
-        goods = self.resolved.where(E.doc("ide.nNF").isNotNull())
-        return sample.join_lines(I.lines_of(goods, KEY), self.raw_lines, self.table("lineitem").count())
+        return I.lines_of(I.explode_items(self.resolved), [*KEY, "item"])
 
     @cached_property
     def items(self) -> DataFrame:
@@ -111,7 +110,7 @@ class World:
         )
 
     def texts(self) -> DataFrame:
-        return sample.xml_texts(sample.full_documents(self.spark, self.folder))
+        return sample.xml_texts(self.docs)
 
 
 # Intake
@@ -549,8 +548,7 @@ def header_items_inner(spark: SparkSession, folder: str) -> DataFrame:
 def first_layout(spark: SparkSession, folder: str) -> tuple[World, DataFrame, DataFrame]:
     """Resolved goods invoices with all their items, and the items of the first layout."""
     w = World(spark, folder)
-    docs = staging.stage(sample.full_documents(spark, folder), "documents")
-    resolved = staging.stage(variants.first_resolved(docs, w.staged_dims, w.settings, KEY), "resolved")
+    resolved = staging.stage(variants.first_resolved(w.docs, w.staged_dims, w.settings, KEY), "resolved")
     products = variants.first_product_map(w.master.details, w.master.heads, w.master.products, w.master.units, w.settings)
     lookup = Lookup(products).staged("first-products")
     return w, resolved, variants.first_items(resolved, w.staged_dims, lookup, w.settings, KEY)

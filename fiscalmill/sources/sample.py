@@ -16,7 +16,6 @@ from fiscalmill.operators.dims import MasterData
 from fiscalmill.operators.lookup import HOT_ROWS, Lookup, left_lookup, salted, salted_join
 from fiscalmill.session import over_all_cores
 from fiscalmill.settings import Settings
-from fiscalmill.sources.schema import document_schema
 
 SETTINGS = Settings(
     split_cgc="33009911000007",
@@ -282,19 +281,6 @@ def goods_lines(spark: SparkSession, folder: str) -> DataFrame:
     return priced.selectExpr("l_orderkey as doc_key", f"{item_sql('_price')} as item")
 
 
-def first_operation_codes(spark: SparkSession, folder: str) -> DataFrame:
-    """Operation code of each invoice's first item; a minimum, so it is combined before the shuffle."""
-    lines = table(spark, folder, "lineitem").where(goods_only(F.col("l_orderkey")))
-    first = F.min(F.struct("l_linenumber", "l_partkey"))
-    codes = lines.groupBy(F.col("l_orderkey").alias("doc_key")).agg(first.alias("f"))
-    return codes.selectExpr("doc_key", "cast(f.l_partkey % 40 + 5101 as string) as first_cfop")
-
-
-def join_lines(docs: DataFrame, lines: DataFrame, rows: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Lines with the columns of their document; an order with very many lines is split."""
-    return salted_join(lines, docs, ["doc_key"], ["item"], hot_rows, left_rows=rows)
-
-
 # Documents
 
 
@@ -379,30 +365,6 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return over_all_cores(table(spark, folder, "orders")).select("*", k.alias("doc_key"), name.alias("filename"))
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order; a goods invoice carries its first item only.
-
-    The other items come from `goods_lines`, already one row each: that is the shape after exploding, reached
-    without collecting the lines of an order first.
-    """
-    orders = _orders(spark, folder).join(first_operation_codes(spark, folder), "doc_key", "left")
-    code = F.col("first_cfop")
-    first = F.when(code.isNotNull(), F.array(_partial_item(code)))
-    return _nested(orders.withColumn("_items", first), spark, folder)
-
-
-def _partial_item(code: Column) -> Column:
-    """Item that holds an operation code and nothing else."""
-    item = document_schema()["NFe"].dataType["infNFe"].dataType["det"].dataType.elementType
-    prod = item["prod"].dataType
-    fields = [(code if f.name == "CFOP" else F.lit(None).cast(f.dataType)).alias(f.name) for f in prod.fields]
-    return F.struct(
-        F.lit(None).cast("string").alias("_nItem"),
-        F.struct(*fields).alias("prod"),
-        F.lit(None).cast(item["imposto"].dataType).alias("imposto"),
-    )
-
-
 def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Documents with all their items, at most `MAX_ITEMS` each: a longer order gives several documents.
 

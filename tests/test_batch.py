@@ -91,8 +91,7 @@ def test_large_lookups_and_hot_keys_change_nothing(spark, folder):
     large = Dimensions(**{n: Lookup(getattr(small, n).frame, None, 0, 20) for n in small.__dataclass_fields__})
     docs = resolve(stage(w.docs, "parsed"), large, w.settings, ["doc_key"])
     docs = stage(docs, "documents")
-    goods = docs.where("NFe.infNFe.ide.nNF is not null")
-    lines = sample.join_lines(I.lines_of(goods, ["doc_key"]), w.raw_lines, hot_rows=20)
+    lines = I.lines_of(I.explode_items(docs), ["doc_key", "item"])
     items = stage(I.item_table(docs, stage(lines, "lines"), large, w.settings, ["doc_key"]), "items")
     assert rows(items.select(*ITEM_LAYOUT)) == rows(QUERIES["items_union"](spark, folder))
     sums = I.item_sums(items)

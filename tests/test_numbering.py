@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fiscalmill.operators.items import item_sums
 from fiscalmill.operators.numbering import next_counter, number_rows, seed_counter
 
 
@@ -31,3 +32,12 @@ def test_counter_survives_an_empty_run(spark):
     assert next_counter(empty, 41).first()[0] == 41
     assert seed_counter(empty).first()[0] == 0
     assert next_counter(spark.createDataFrame([(43,)], "NUM_CONTROLE_DOCTO long"), 41).first()[0] == 43
+
+
+def test_sums_by_series_keep_documents_apart(spark):
+    """Two documents of one partner with one number: their sums mix without the series, and do not with it."""
+    data = [("E", "B", "000000007", "1", "M1", "1", "3", 10), ("E", "B", "000000007", "2", "M1", "1", "2", 5)]
+    kinds = "COD_EMPRESA string, COD_ESTAB string, NUM_DOCFIS string, SERIE_DOCFIS string, COD_FIS_JUR string, IND_FIS_JUR string, TRIB_ICMS string, _base_amount int"
+    items = spark.createDataFrame(data, kinds)
+    assert [int(r["BASE_IPI"]) for r in item_sums(items).collect()] == [15]
+    assert {r["SERIE_DOCFIS"]: int(r["BASE_IPI"]) for r in item_sums(items, by_series=True).collect()} == {"1": 10, "2": 5}
