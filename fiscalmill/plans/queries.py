@@ -64,6 +64,11 @@ class World:
     def docs(self) -> DataFrame:
         return sample.full_documents(self.spark, self.folder)
 
+    @cached_property
+    def heads(self) -> DataFrame:
+        """Documents for queries that read no items."""
+        return sample.heads(self.spark, self.folder)
+
     @cached_property
     def _resolved(self) -> tuple[DataFrame, int]:
         return staging.stage_counted(resolve(self.docs, self.staged_dims, self.settings, KEY), "documents")
@@ -297,7 +302,7 @@ def doc_class(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
     nnf, nct, model = E.doc("ide.nNF"), E.doc("ide.nCT"), E.doc("ide.mod")
     freight = F.when(nct.isNotNull(), E.freight_class(model, w.settings.freight_model))
-    return w.docs.select(
+    return w.heads.select(
         *KEY, E.header_class(nnf, model, w.settings.freight_model).alias("COD_DOCTO"), freight.alias("FREIGHT_DOCTO")
     )
 
@@ -305,7 +310,7 @@ def doc_class(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def doc_number(spark: SparkSession, folder: str) -> DataFrame:
     number = E.document_number(E.doc("ide.nNF"), E.doc("ide.nCT"))
-    return World(spark, folder).docs.select(*KEY, number.alias("NUM_DOCFIS"))
+    return World(spark, folder).heads.select(*KEY, number.alias("NUM_DOCFIS"))
 
 
 @query
@@ -360,7 +365,7 @@ def tax_origin_first_set(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def special_regime(spark: SparkSession, folder: str) -> DataFrame:
     cpf, ie = E.doc("emit.CPF"), E.doc("emit.IE")
-    return World(spark, folder).docs.select(
+    return World(spark, folder).heads.select(
         *KEY,
         F.when(E.is_avulsa(cpf, ie), "S").alias("IND_NF_REG_ESPECIAL"),
         E.issuer_amount(E.doc("total.ICMSTot.vProd")).cast(E.MONEY).alias("vProd"),
@@ -382,7 +387,7 @@ def access_key_slices(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dates_fixed(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    return w.docs.select(
+    return w.heads.select(
         *KEY, E.issue_date(E.doc("ide.dhEmi")).alias("DATA_EMISSAO"), F.lit(w.settings.run_date).alias("DATA_SAIDA_REC")
     )
 
@@ -400,7 +405,7 @@ def places(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def role_resolution(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    found = receiving_establishment(w.docs, w.dims.establishments, w.settings, KEY)
+    found = receiving_establishment(w.heads, w.dims.establishments, w.settings, KEY)
     return found.select(*KEY, "COD_EMPRESA", "COD_ESTAB")
 
 
@@ -569,12 +574,12 @@ def first_headers(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def first_partners(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    return variants.first_new_partners(w.docs, w.dims)
+    return variants.first_new_partners(w.heads, w.dims)
 
 
 @query
 def places_of_document(spark: SparkSession, folder: str) -> DataFrame:
-    return variants.places_of_document(World(spark, folder).docs, KEY)
+    return variants.places_of_document(World(spark, folder).heads, KEY)
 
 
 @query
@@ -592,7 +597,7 @@ def item_sums_series(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def control_number(spark: SparkSession, folder: str) -> DataFrame:
     number = F.coalesce(E.doc("ide.nNF"), E.doc("ide.nCT")).cast("bigint")
-    rows = World(spark, folder).docs.select(*KEY, number.alias("_number"))
+    rows = World(spark, folder).heads.select(*KEY, number.alias("_number"))
     order = [F.col("_number").asc_nulls_first(), F.col("doc_key").asc()]
     return N.number_rows(rows, order, sample.COUNTER, H.NUMBER).select(*KEY, H.NUMBER)
 
@@ -613,7 +618,7 @@ def header_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def new_partners_table(spark: SparkSession, folder: str) -> DataFrame:
     w = World(spark, folder)
-    return new_partners(w.docs, w.dims, w.settings)
+    return new_partners(w.heads, w.dims, w.settings)
 
 
 # Validation and sinks
@@ -682,7 +687,7 @@ def publish_items(spark: SparkSession, folder: str) -> DataFrame:
 def publish_partners(spark: SparkSession, folder: str) -> DataFrame:
     """New partners published into the target, and read back."""
     w = World(spark, folder)
-    return published(new_partners(w.docs, w.dims, w.settings), PARTNER_LAYOUT)
+    return published(new_partners(w.heads, w.dims, w.settings), PARTNER_LAYOUT)
 
 
 @query
@@ -735,4 +740,4 @@ def error_csv(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def preview(spark: SparkSession, folder: str) -> DataFrame:
     """First ten documents by number."""
-    return batch.preview(World(spark, folder).docs.select(*KEY, E.doc("ide.mod").alias("model")), KEY)
+    return batch.preview(World(spark, folder).heads.select(*KEY, E.doc("ide.mod").alias("model")), KEY)

@@ -16,6 +16,7 @@ from fiscalmill.operators.dims import MasterData
 from fiscalmill.operators.lookup import HOT_ROWS, Lookup, left_lookup, salted, salted_join
 from fiscalmill.session import over_all_cores
 from fiscalmill.settings import Settings
+from fiscalmill.sources.schema import item_ddl
 
 SETTINGS = Settings(
     split_cgc="33009911000007",
@@ -365,6 +366,12 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return over_all_cores(table(spark, folder, "orders")).select("*", k.alias("doc_key"), name.alias("filename"))
 
 
+def heads(spark: SparkSession, folder: str) -> DataFrame:
+    """One document an order, without its items: for what never reads them."""
+    item = f"array<{item_ddl()}>"
+    return _nested(_orders(spark, folder).withColumn("_items", F.lit(None).cast(item)), spark, folder)
+
+
 def full_documents(spark: SparkSession, folder: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Documents with all their items, at most `MAX_ITEMS` each: a longer order gives several documents.
 
