@@ -121,9 +121,10 @@ def _anchor_rows(shape: Shape) -> Callable:
     return run
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, the id that orders documents, and the text."""
-    return own_columns(docs, "doc_id", "text").select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("key"), "text")
+def keyed(docs: DataFrame, ordered: bool) -> DataFrame:
+    """doc_id, a key and the text. The key is the id where documents have an order, else a hash of id and text."""
+    key = F.coalesce("doc_id", F.lit(NO_ID)).cast("long") if ordered else F.xxhash64("doc_id", "text")
+    return own_columns(docs, "doc_id", "text").select("doc_id", key.alias("key"), "text")
 
 
 def _pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,14 +138,14 @@ def unpack(packed: pd.Series) -> list[bytes]:
     return [open_up.decompress(p) for p in packed]
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
+def packed_texts(docs: DataFrame, ordered: bool = True) -> DataFrame:
     """doc_id, key and the compressed text."""
-    return keyed(docs).mapInPandas(_pack, "doc_id long, key long, packed binary")
+    return keyed(docs, ordered).mapInPandas(_pack, "doc_id long, key long, packed binary")
 
 
-def repeated_anchors(docs: DataFrame, shape: Shape) -> DataFrame:
+def repeated_anchors(docs: DataFrame, shape: Shape, ordered: bool = True) -> DataFrame:
     """(key, places): the places of each document's anchors that occur at least twice in the corpus."""
-    rows = keyed(docs).select("key", "text").mapInPandas(_anchor_rows(shape), "route long, key long, pos int, sure boolean")
+    rows = keyed(docs, ordered).select("key", "text").mapInPandas(_anchor_rows(shape), "route long, key long, pos int, sure boolean")
     # A batch sends one row for an anchor that it repeats, so a hot anchor has a row per batch here.
     counted = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("route"))).where("sure or n > 1")
     return counted.groupBy("key").agg(F.collect_set("pos").alias("places"))
@@ -198,7 +199,7 @@ def _occurrence_rows(shape: Shape) -> Callable:
     return run
 
 
-def occurrences(docs: DataFrame, texts: DataFrame, shape: Shape) -> DataFrame:
+def occurrences(docs: DataFrame, texts: DataFrame, shape: Shape, ordered: bool = True) -> DataFrame:
     """Every occurrence of a repeated anchor with the hash of its context."""
-    joined = texts.join(repeated_anchors(docs, shape), "key")
+    joined = texts.join(repeated_anchors(docs, shape, ordered), "key")
     return joined.select("doc_id", "key", "packed", "places").mapInPandas(_occurrence_rows(shape), OCCURRENCES)

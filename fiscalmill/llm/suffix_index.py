@@ -9,13 +9,17 @@
    suffix array sampled at the run ends. Longest matches with the neighbours in suffix order are computed only at run
    ends; between them the matching statistics fall by one per place, so one pass streams them over the shard's text.
    Places that match LENGTH bytes elsewhere are the repeats.
-4. A group of more than HOT classes is no shard of bounded size. Its contexts send the hash of each of their windows
-   instead, which are counted.
+4. A group of more than HOT classes is no shard of bounded size. It is split by longer extensions of its anchor: the
+   places a repeat may start at before the anchor are cut into runs of STEP, and what all repeats of a run share (LENGTH
+   less STEP - 1 bytes) names a smaller group. There only the part of a context that these repeats cover counts, so most
+   contexts of a hot group are equal now. One context stands for each class; groups of one class are done, the others go
+   to shards. Only groups that are still larger than HOT are counted by their at most STEP windows.
 
 Matches are compared byte by byte in shards; between documents they meet by 64-bit hashes of anchor and context.
 
-Defined cases: a null text is empty; texts shorter than LENGTH lose nothing; a null id is an id like others; rows that
-repeat an id and text are copies of each other; an empty table gives an empty result; further columns are passed over by
+Defined cases: a null text is empty; texts shorter than LENGTH lose nothing; a null id is an id like others (texts meet
+their marks by a hash of id and text, so rows without an id do not gather); rows that repeat an id and text are copies of
+each other; an empty table gives an empty result; further columns are passed over by
 `repeats` and kept by `remove_repeats`, which drops characters that lose a byte and keeps rows whose text becomes empty.
 """
 
@@ -40,7 +44,11 @@ SHARD_CONTEXTS = 1500
 """Contexts in a shard on average; about half a megabyte of text."""
 PAIRS_AT_ONCE = 1 << 14
 HOT = 3000
-"""Classes in a group from which on windows are counted instead."""
+"""Classes in a group from which on it is split by longer extensions."""
+STEP = 8
+"""Starts of repeats that a group of a split hot group covers."""
+BEFORE, AFTER = -1, -2
+"""Instead of a shard: a context of a hot group that shares the half margin before or after the anchor."""
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -158,28 +166,29 @@ SPANS = "h long, ctx long, low int, high int"
 
 
 def search_shard(part: pd.DataFrame) -> pd.DataFrame:
-    """The span of every context, relative to its start, that repeats elsewhere in the shard.
+    """The span of every content, relative to its context's start, that repeats elsewhere in the shard.
 
-    A context has fewer than LENGTH windows, so its repeats overlap and make one span.
+    A content has fewer than LENGTH windows, so its repeats overlap and make one span.
     """
-    part = part.drop_duplicates(["h", "ctx"])
-    contents = part["content"].tolist()
+    part = part.assign(size=part["content"].str.len()).drop_duplicates(["h", "ctx", "shift", "size"])
+    contents, shift = part["content"].tolist(), part["shift"].to_numpy(np.int64)
     names = (part["key"].to_numpy(np.int64).astype(np.uint64) * np.uint64(tokens.BASE)) ^ part["tag"].to_numpy(np.uint64)
     text, begins = merged_text(names, part["start"].to_numpy(np.int64), contents)
     marks = np.flatnonzero(RunLengthIndex(text).matching_statistics(LENGTH) >= LENGTH)
     inside = np.maximum(0, np.array([len(c) for c in contents], np.int64) - LENGTH + 1)
     first, last = np.searchsorted(marks, begins), np.searchsorted(marks, begins + inside) - 1
     found = first <= last
-    low = marks[first[found]] - begins[found]
-    high = marks[last[found]] + LENGTH - begins[found]
+    low = marks[first[found]] - begins[found] + shift[found]
+    high = marks[last[found]] + LENGTH - begins[found] + shift[found]
     return pd.DataFrame({"h": part["h"][found], "ctx": part["ctx"][found], "low": low, "high": high})
 
 
-CONTENTS = "group long, h long, ctx long, key long, tag int, start int, content binary"
+CONTENTS = "group long, h long, ctx long, key long, tag int, start int, lead int, content binary"
 
 
 def _content_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of the wanted contexts of each text. `wanted` holds (group, h, ctx, tag, pos)."""
+    """The bytes of the wanted contexts of each text, `lead` of them before the anchor. `wanted` holds (group, h, ctx, tag, pos)."""
+    names = ["group", "h", "ctx", "key", "tag", "start", "lead", "content"]
     for part in parts:
         rows = []
         for key, text, wanted in zip(part["key"], unpack(part["packed"]), part["wanted"], strict=True):
@@ -187,36 +196,81 @@ def _content_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for w in wanted:
                 if w["tag"] == tag:
                     start, end = context(np.int64(w["pos"]), np.int64(len(text)), SHAPE)
-                    rows.append((w["group"], w["h"], w["ctx"], key, tag, int(start), text[start:end]))
+                    rows.append((w["group"], w["h"], w["ctx"], key, tag, int(start), int(w["pos"] - start), text[start:end]))
                     if len(rows) == 20000:
-                        yield pd.DataFrame(rows, columns=["group", "h", "ctx", "key", "tag", "start", "content"])
+                        yield pd.DataFrame(rows, columns=names)
                         rows = []
-        yield pd.DataFrame(rows, columns=["group", "h", "ctx", "key", "tag", "start", "content"])
+        yield pd.DataFrame(rows, columns=names)
 
 
-def _window_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hashes of all windows of contexts of hot groups."""
-    for part in parts:
-        for h, ctx, key, tag, start, content in zip(*[part[c] for c in ("h", "ctx", "key", "tag", "start", "content")], strict=True):
-            n = len(content) - LENGTH + 1
-            if n > 0:
-                at = np.arange(n)
-                hashes = symbols_of([bytes(content)], False).hash(at, at + LENGTH)
-                yield pd.DataFrame({"window": hashes.view(np.int64), "h": h, "ctx": ctx, "key": key, "tag": tag, "start": start, "at": at.astype(np.int32)})
+PARTS = "core long, part long, group long, h long, ctx long, low short, high short"
 
 
-WINDOWS = "window long, h long, ctx long, key long, tag int, start int, at int"
+def _part_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hot contexts by longer extensions: one row for each run of STEP starts of repeats before the anchor.
 
+    `core` names what all repeats of the run share, `part` what they cover together, from `low` to `high` in the context.
+    """
+    half, margin = SHAPE.margin // 2, SHAPE.margin
+    for rows in parts:
+        symbols = symbols_of(rows["content"].tolist(), False)
+        base, size, lead = symbols.offsets[:-1], np.diff(symbols.offsets), rows["lead"].to_numpy(np.int64)
+        for group, least, most in ((BEFORE, half, margin), (AFTER, 0, half - 1)):
+            own = rows["group"].to_numpy() == group
+            for low in range(least, most + 1, STEP):
+                high = min(low + STEP - 1, most)
+                # Repeats start `nearest` to `farthest` bytes before the anchor; those that the text cuts do not exist.
+                nearest, farthest = np.maximum(low, lead + LENGTH - size), np.minimum(high, lead)
+                some = np.flatnonzero(own & (nearest <= farthest))
+                start, end = lead[some] - farthest[some], lead[some] - nearest[some] + LENGTH
+                core = symbols.hash(base[some] + lead[some] - low, base[some] + lead[some] - high + LENGTH)
+                part = symbols.hash(base[some] + start, base[some] + end)
+                yield pd.DataFrame({
+                    "core": tokens.mix(core + np.uint64(low)).view(np.int64),
+                    "part": tokens.mix(part + farthest[some].astype(np.uint64)).view(np.int64),
+                    "group": group, "h": rows["h"].to_numpy()[some], "ctx": rows["ctx"].to_numpy()[some],
+                    "low": start.astype(np.int16), "high": end.astype(np.int16),
+                })
 
-def _repeated_windows(hot: DataFrame) -> DataFrame:
-    """Spans of hot contexts: windows of contexts of one anchor that start at two places."""
-    rows = hot.select("h", "ctx", "key", "tag", "start", "content").mapInPandas(_window_rows, WINDOWS)
-    rows = stage(rows.distinct(), "hot-windows")
-    place = F.struct("key", "tag", F.col("start") + F.col("at"))
-    sums = rows.groupBy(F.col("window").alias("w"), F.col("h").alias("anchor")).agg(F.min(place).alias("low"), F.max(place).alias("high"))
-    twice = sums.where("low <> high").select("w", "anchor")
-    found = rows.join(twice, (F.col("window") == F.col("w")) & (F.col("h") == F.col("anchor")))
-    return found.groupBy("h", "ctx").agg(F.min("at").alias("low"), (F.max("at") + LENGTH).alias("high"))
+
+def _window_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hashes of all windows from `low` to `high` of contexts, together with their distance from the anchor."""
+    for rows in parts:
+        symbols = symbols_of(rows["content"].tolist(), False)
+        low, lead = rows["low"].to_numpy(np.int64), rows["lead"].to_numpy(np.int64)
+        n = rows["high"].to_numpy(np.int64) - low - LENGTH + 1
+        of = np.repeat(np.arange(len(rows)), n)
+        at = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        start = symbols.offsets[of] + at
+        window = tokens.mix(symbols.hash(start, start + LENGTH) + (lead[of] - at).astype(np.uint64))
+        yield pd.DataFrame({"window": window.view(np.int64), "h": rows["h"].to_numpy()[of], "ctx": rows["ctx"].to_numpy()[of], "at": at.astype(np.int32)})
+
+
+WINDOWS = "window long, h long, ctx long, at int"
+
+
+def _spans_of_hot(hot: DataFrame) -> DataFrame:
+    """Spans of the contexts of hot groups."""
+    rows = stage(hot.select("group", "h", "ctx", "lead", "content").mapInPandas(_part_rows, PARTS), "hot-parts")
+    one = F.min(F.struct("group", "h", "ctx", "low", "high")).alias("one")
+    classes = stage(rows.groupBy("core", "part").agg(F.count(F.lit(1)).alias("n"), one), "hot-classes")
+    whole = rows.join(classes.where("n > 1").select("core", "part"), ["core", "part"]).select("h", "ctx", "low", "high")
+    # As before, a group is open if it has several classes and one of them is not known to repeat as a whole.
+    sizes = classes.groupBy("core").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
+    open_parts = classes.select("core", "one.*").join(sizes.select("core", "classes"), "core")
+    met = stage(open_parts.join(hot, ["group", "h", "ctx"]), "hot-open")
+    cold = F.col("classes") <= HOT
+    shards = max(1, met.where(cold).count() // SHARD_CONTEXTS)
+    content = F.expr("substring(content, low + 1, high - low)").alias("content")
+    cut = met.where(cold).select(
+        F.pmod("core", F.lit(shards)).alias("group"), "h", "ctx", "key", "tag", (F.col("start") + F.col("low")).alias("start"),
+        F.col("low").cast("int").alias("shift"), content,
+    )
+    indexed = cut.groupBy("group").applyInPandas(search_shard, SPANS)
+    windows = stage(met.where(~cold).select("h", "ctx", "lead", "content", "low", "high").mapInPandas(_window_rows, WINDOWS), "hot-windows")
+    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+    counted = windows.join(twice, "window").groupBy("h", "ctx").agg(F.min("at").alias("low"), (F.max("at") + LENGTH).alias("high"))
+    return whole.union(indexed).union(counted).select("h", "ctx", F.col("low").cast("int"), F.col("high").cast("int"))
 
 
 def runs_covered(parts: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -248,31 +302,32 @@ def rest_of(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 def marked_texts(docs: DataFrame) -> DataFrame:
     """doc_id, key, packed text and marks (tag, pos, spans) of every document."""
-    texts = packed_texts(docs)
-    found = stage(occurrences(docs, texts, SHAPE), "occurrences")
+    texts = packed_texts(docs, ordered=False)
+    found = stage(occurrences(docs, texts, SHAPE, ordered=False), "occurrences")
     place = F.struct("key", "tag", "pos")
     classes = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("after").alias("after"), F.min(place).alias("at"))
     classes = stage(classes, "classes")
     side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("part")), F.struct(F.lit(1).alias("side"), F.col("after").alias("part"))))
     halves = classes.select("h", "ctx", "at", "n", side.alias("s")).where("s.part <> 0")
-    halves = halves.select(F.xxhash64("h", "s.side", "s.part").alias("group"), "h", "ctx", "at", "n")
+    halves = halves.select(F.xxhash64("h", "s.side", "s.part").alias("group"), "s.side", "h", "ctx", "at", "n")
     # A group is open if it has several classes and one of them is not known to repeat as a whole.
     counts = halves.groupBy("group").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
     met = stage(halves.drop("n").join(counts.drop("least"), "group"), "groups")
     cold = met.where(F.col("classes") <= HOT)
     shards = max(1, cold.count() // SHARD_CONTEXTS)
-    target = F.when(F.col("classes") <= HOT, F.pmod("group", F.lit(shards))).otherwise(F.lit(-1)).cast("long")
+    target = F.when(F.col("classes") <= HOT, F.pmod("group", F.lit(shards))).when(F.col("side") == 0, F.lit(BEFORE)).otherwise(F.lit(AFTER)).cast("long")
     wanted = met.select(target.alias("group"), "h", "ctx", "at").distinct()
     by_text = wanted.groupBy("at.key").agg(F.collect_list(F.struct("group", "h", "ctx", "at.tag", "at.pos")).alias("wanted"))
     contents = texts.join(by_text, "key").select("key", "packed", "wanted").mapInPandas(_content_rows, CONTENTS)
     contents = stage(contents, "contexts")
-    indexed = contents.where("group >= 0").groupBy("group").applyInPandas(search_shard, SPANS)
-    spans = stage(indexed.union(_repeated_windows(contents.where("group < 0"))), "spans")
+    cold_rows = contents.where("group >= 0").select("group", "h", "ctx", "key", "tag", "start", F.lit(0).alias("shift"), "content")
+    indexed = cold_rows.groupBy("group").applyInPandas(search_shard, SPANS)
+    spans = stage(indexed.union(_spans_of_hot(stage(contents.where("group < 0"), "hot-contexts"))), "spans")
     several = classes.where("n > 1").select("h", "ctx", F.lit(None).cast("array<int>").alias("spans"))
     single = spans.groupBy("h", "ctx").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("spans"))
     single = single.join(classes.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_anti")
     marks = found.select("h", "ctx", "key", "tag", "pos").join(several.union(single), ["h", "ctx"])
-    by_key = marks.groupBy("key").agg(F.collect_list(F.struct("tag", "pos", "spans")).alias("marks"))
+    by_key = marks.groupBy("key").agg(F.collect_set(F.struct("tag", "pos", "spans")).alias("marks"))
     return texts.join(by_key, "key", "left").select("doc_id", "packed", "marks")
 
 

@@ -149,6 +149,23 @@ def brute_bytes(rows):
     return out
 
 
+@pytest.mark.parametrize("hot", [suffix_index.HOT, 3, 1])
+def test_hot_groups_are_split_exactly(spark, monkeypatch, hot):
+    """Passages of lengths around LENGTH in many documents, between words of their own or of a few, cut by text ends."""
+    monkeypatch.setattr(suffix_index, "HOT", hot)
+    r = random.Random(3)
+    passage = " ".join(invented(20, 110))
+    rows = []
+    for i in range(60):
+        start, size = r.choice([0, 5, 90]), r.choice([195, 199, 200, 201, 207, 230, 400])
+        own = lambda k, n: " ".join(invented(k, n))
+        left, right = own(100 + r.choice([i, i % 4]), r.choice([0, 2, 40])), own(200 + r.choice([i, i % 4]), r.choice([0, 3, 40]))
+        rows.append((r.choice([i, None]), left + passage[start : start + size] + right))
+    docs = spark.createDataFrame(rows + rows[:2], "doc_id long, text string").repartition(4)
+    found = suffix_index.repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(x) for x in found.collect()) == brute_bytes(rows + rows[:2])
+
+
 @pytest.mark.parametrize("hot", [suffix_index.HOT, 1])
 def test_repeated_bytes_against_brute_force(edge_docs, monkeypatch, hot):
     monkeypatch.setattr(suffix_index, "HOT", hot)
