@@ -10,10 +10,10 @@
    ends; between them the matching statistics fall by one per place, so one pass streams them over the shard's text.
    Places that match LENGTH bytes elsewhere are the repeats.
 4. A group of more than HOT classes is no shard of bounded size. It is split by longer extensions of its anchor: the
-   places a repeat may start at before the anchor are cut into runs of STEP, and what all repeats of a run share (LENGTH
-   less STEP - 1 bytes) names a smaller group. There only the part of a context that these repeats cover counts, so most
-   contexts of a hot group are equal now. One context stands for each class; groups of one class are done, the others go
-   to shards. Only groups that are still larger than HOT are counted by their at most STEP windows.
+   distances that a repeat may start before the anchor are cut into runs, and what all repeats of a run share (LENGTH
+   less the run, plus one) names a smaller group. There only the part of a context that these repeats cover counts, so
+   most contexts of a hot group are equal now. One context stands for each class; groups of one class are done, others
+   go to shards, and those that are still larger than HOT are split again, into shorter runs, the last of one distance.
 
 Matches are compared byte by byte in shards; between documents they meet by 64-bit hashes of anchor and context.
 
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -45,10 +46,9 @@ SHARD_CONTEXTS = 1500
 PAIRS_AT_ONCE = 1 << 14
 HOT = 3000
 """Classes in a group from which on it is split by longer extensions."""
-STEP = 8
-"""Starts of repeats that a group of a split hot group covers."""
-BEFORE, AFTER = -1, -2
-"""Instead of a shard: a context of a hot group that shares the half margin before or after the anchor."""
+RUNS = (24, 8, 1)
+"""Distances in a run, split by split. At one distance a group has one class."""
+HALF = SHAPE.margin // 2
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -203,74 +203,64 @@ def _content_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=names)
 
 
-PARTS = "core long, part long, group long, h long, ctx long, low short, high short"
+PARTS = "core long, part long, h long, ctx long, low int, high int, near int, far int"
 
 
-def _part_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hot contexts by longer extensions: one row for each run of STEP starts of repeats before the anchor.
+def _part_rows(run: int) -> Callable:
+    """Contexts by longer extensions: one row for each run of the distances `near` to `far` before the anchor.
 
     `core` names what all repeats of the run share, `part` what they cover together, from `low` to `high` in the context.
     """
-    half, margin = SHAPE.margin // 2, SHAPE.margin
-    for rows in parts:
-        symbols = symbols_of(rows["content"].tolist(), False)
-        base, size, lead = symbols.offsets[:-1], np.diff(symbols.offsets), rows["lead"].to_numpy(np.int64)
-        for group, least, most in ((BEFORE, half, margin), (AFTER, 0, half - 1)):
-            own = rows["group"].to_numpy() == group
-            for low in range(least, most + 1, STEP):
-                high = min(low + STEP - 1, most)
-                # Repeats start `nearest` to `farthest` bytes before the anchor; those that the text cuts do not exist.
-                nearest, farthest = np.maximum(low, lead + LENGTH - size), np.minimum(high, lead)
-                some = np.flatnonzero(own & (nearest <= farthest))
-                start, end = lead[some] - farthest[some], lead[some] - nearest[some] + LENGTH
-                core = symbols.hash(base[some] + lead[some] - low, base[some] + lead[some] - high + LENGTH)
-                part = symbols.hash(base[some] + start, base[some] + end)
+
+    def rows_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in parts:
+            symbols = symbols_of(rows["content"].tolist(), False)
+            base, size = symbols.offsets[:-1], np.diff(symbols.offsets)
+            lead, near, far, h, ctx = (rows[c].to_numpy(np.int64) for c in ("lead", "near", "far", "h", "ctx"))
+            for shift in range(0, int((far - near).max(initial=-1)) + 1, run):
+                first, last = near + shift, np.minimum(near + shift + run - 1, far)
+                # Distances at which the text cuts a repeat do not exist.
+                nearest, farthest = np.maximum(first, lead + LENGTH - size), np.minimum(last, lead)
+                some = np.flatnonzero(nearest <= farthest)
+                first, last, nearest, farthest = (x[some] for x in (first, last, nearest, farthest))
+                zero = (base + lead)[some]
+                core = symbols.hash(zero - first, zero - last + LENGTH)
+                part = symbols.hash(zero - farthest, zero - nearest + LENGTH)
                 yield pd.DataFrame({
-                    "core": tokens.mix(core + np.uint64(low)).view(np.int64),
-                    "part": tokens.mix(part + farthest[some].astype(np.uint64)).view(np.int64),
-                    "group": group, "h": rows["h"].to_numpy()[some], "ctx": rows["ctx"].to_numpy()[some],
-                    "low": start.astype(np.int16), "high": end.astype(np.int16),
+                    "core": tokens.mix(core + first.astype(np.uint64)).view(np.int64),
+                    "part": tokens.mix(part + farthest.astype(np.uint64)).view(np.int64),
+                    "h": h[some], "ctx": ctx[some], "low": lead[some] - farthest, "high": lead[some] - nearest + LENGTH, "near": first, "far": last,
                 })
 
-
-def _window_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Hashes of all windows from `low` to `high` of contexts, together with their distance from the anchor."""
-    for rows in parts:
-        symbols = symbols_of(rows["content"].tolist(), False)
-        low, lead = rows["low"].to_numpy(np.int64), rows["lead"].to_numpy(np.int64)
-        n = rows["high"].to_numpy(np.int64) - low - LENGTH + 1
-        of = np.repeat(np.arange(len(rows)), n)
-        at = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        start = symbols.offsets[of] + at
-        window = tokens.mix(symbols.hash(start, start + LENGTH) + (lead[of] - at).astype(np.uint64))
-        yield pd.DataFrame({"window": window.view(np.int64), "h": rows["h"].to_numpy()[of], "ctx": rows["ctx"].to_numpy()[of], "at": at.astype(np.int32)})
-
-
-WINDOWS = "window long, h long, ctx long, at int"
+    return rows_of
 
 
 def _spans_of_hot(hot: DataFrame) -> DataFrame:
-    """Spans of the contexts of hot groups."""
-    rows = stage(hot.select("group", "h", "ctx", "lead", "content").mapInPandas(_part_rows, PARTS), "hot-parts")
-    one = F.min(F.struct("group", "h", "ctx", "low", "high")).alias("one")
-    classes = stage(rows.groupBy("core", "part").agg(F.count(F.lit(1)).alias("n"), one), "hot-classes")
-    whole = rows.join(classes.where("n > 1").select("core", "part"), ["core", "part"]).select("h", "ctx", "low", "high")
-    # As before, a group is open if it has several classes and one of them is not known to repeat as a whole.
-    sizes = classes.groupBy("core").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
-    open_parts = classes.select("core", "one.*").join(sizes.select("core", "classes"), "core")
-    met = stage(open_parts.join(hot, ["group", "h", "ctx"]), "hot-open")
-    cold = F.col("classes") <= HOT
-    shards = max(1, met.where(cold).count() // SHARD_CONTEXTS)
-    content = F.expr("substring(content, low + 1, high - low)").alias("content")
-    cut = met.where(cold).select(
-        F.pmod("core", F.lit(shards)).alias("group"), "h", "ctx", "key", "tag", (F.col("start") + F.col("low")).alias("start"),
-        F.col("low").cast("int").alias("shift"), content,
-    )
-    indexed = cut.groupBy("group").applyInPandas(search_shard, SPANS)
-    windows = stage(met.where(~cold).select("h", "ctx", "lead", "content", "low", "high").mapInPandas(_window_rows, WINDOWS), "hot-windows")
-    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
-    counted = windows.join(twice, "window").groupBy("h", "ctx").agg(F.min("at").alias("low"), (F.max("at") + LENGTH).alias("high"))
-    return whole.union(indexed).union(counted).select("h", "ctx", F.col("low").cast("int"), F.col("high").cast("int"))
+    """Spans of the contexts of hot groups (h, ctx, key, tag, start, lead, content, near, far)."""
+    contexts = hot.drop("near", "far")
+    found = []
+    for run in RUNS:
+        rows = stage(hot.select("h", "ctx", "lead", "content", "near", "far").mapInPandas(_part_rows(run), PARTS), "hot-parts")
+        one = F.min(F.struct("h", "ctx", "low", "high", "near", "far")).alias("one")
+        classes = stage(rows.groupBy("core", "part").agg(F.count(F.lit(1)).alias("n"), one), "hot-classes")
+        found.append(rows.join(classes.where("n > 1").select("core", "part"), ["core", "part"]).select("h", "ctx", "low", "high"))
+        # As above, a group is open if it has several classes and one of them is not known to repeat as a whole.
+        sizes = classes.groupBy("core").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 and least = 1")
+        met = classes.select("core", "one.*").join(sizes.select("core", "classes"), "core")
+        met = stage(met.join(contexts.dropDuplicates(["h", "ctx"]), ["h", "ctx"]), "hot-open")
+        is_cold = F.col("classes") <= HOT
+        cold, still_hot = met.agg(F.count_if(is_cold), F.count_if(~is_cold)).first()
+        shards = max(1, cold // SHARD_CONTEXTS)
+        cut = met.where(is_cold).select(
+            F.pmod("core", F.lit(shards)).alias("group"), "h", "ctx", "key", "tag", (F.col("start") + F.col("low")).alias("start"),
+            F.col("low").alias("shift"), F.expr("substring(content, low + 1, high - low)").alias("content"),
+        )
+        if cold:
+            found.append(cut.groupBy("group").applyInPandas(search_shard, SPANS))
+        if not still_hot:
+            break
+        hot = met.where(~is_cold)
+    return reduce(DataFrame.union, found)
 
 
 def runs_covered(parts: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -315,14 +305,18 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     met = stage(halves.drop("n").join(counts.drop("least"), "group"), "groups")
     cold = met.where(F.col("classes") <= HOT)
     shards = max(1, cold.count() // SHARD_CONTEXTS)
-    target = F.when(F.col("classes") <= HOT, F.pmod("group", F.lit(shards))).when(F.col("side") == 0, F.lit(BEFORE)).otherwise(F.lit(AFTER)).cast("long")
+    target = F.when(F.col("classes") <= HOT, F.pmod("group", F.lit(shards))).otherwise(-1 - F.col("side")).cast("long")
     wanted = met.select(target.alias("group"), "h", "ctx", "at").distinct()
     by_text = wanted.groupBy("at.key").agg(F.collect_list(F.struct("group", "h", "ctx", "at.tag", "at.pos")).alias("wanted"))
     contents = texts.join(by_text, "key").select("key", "packed", "wanted").mapInPandas(_content_rows, CONTENTS)
     contents = stage(contents, "contexts")
     cold_rows = contents.where("group >= 0").select("group", "h", "ctx", "key", "tag", "start", F.lit(0).alias("shift"), "content")
     indexed = cold_rows.groupBy("group").applyInPandas(search_shard, SPANS)
-    spans = stage(indexed.union(_spans_of_hot(stage(contents.where("group < 0"), "hot-contexts"))), "spans")
+    # A repeat holds the half margin before its anchor if it starts HALF bytes or more before it, else the one after.
+    before = F.col("group") == -1
+    near, far = F.when(before, HALF).otherwise(0).alias("near"), F.when(before, SHAPE.margin).otherwise(HALF - 1).alias("far")
+    hot = stage(contents.where("group < 0").select("h", "ctx", "key", "tag", "start", "lead", "content", near, far), "hot-contexts")
+    spans = stage(indexed.union(_spans_of_hot(hot)), "spans")
     several = classes.where("n > 1").select("h", "ctx", F.lit(None).cast("array<int>").alias("spans"))
     single = spans.groupBy("h", "ctx").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("spans"))
     single = single.join(classes.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_anti")
