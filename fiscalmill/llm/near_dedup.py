@@ -126,7 +126,10 @@ def likelihood_keeps(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: n
 
 
 def links_in_block(left: list, right: list, like: Likeness, same: bool) -> Iterator[tuple[bytes, bytes]]:
-    """Verified links between classes (class, component, sketch, set) of two chunks, if their components differ."""
+    """Verified links between classes (class, component, sketch, set) of two chunks that join their components.
+
+    A link joins its components at once, so no pair is compared or sent that earlier links of the block connect already.
+    """
     if not left or not right:
         return
     all_right = np.concatenate([r[3] for r in right])
@@ -134,10 +137,13 @@ def links_in_block(left: list, right: list, like: Likeness, same: bool) -> Itera
     places = np.searchsorted(names, all_right)
     sizes = np.array([len(r[3]) for r in right])
     offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    registers, groups = np.stack([r[2] for r in right]), np.array([r[1] for r in right], object)
+    registers = np.stack([r[2] for r in right])
+    number = {c: i for i, c in enumerate(dict.fromkeys(r[1] for r in left + right))}
+    joined = np.array([number[r[1]] for r in left + right])
+    groups = joined[len(left) :]
     marked = np.zeros(len(names), np.int32)
-    for i, (name, group, sketch, own) in enumerate(left):
-        open_to = (groups != group) & (100 * np.minimum(sizes, len(own)) >= like.percent * np.maximum(sizes, len(own)))
+    for i, (name, _, sketch, own) in enumerate(left):
+        open_to = (groups != joined[i]) & (100 * np.minimum(sizes, len(own)) >= like.percent * np.maximum(sizes, len(own)))
         if same:
             open_to[: i + 1] = False
         some = np.flatnonzero(open_to)
@@ -152,7 +158,9 @@ def links_in_block(left: list, right: list, like: Likeness, same: bool) -> Itera
         both = np.add.reduceat(marked[places], offsets)[some]
         marked[at] = 0
         for j in some[100 * both >= like.percent * (len(own) + sizes[some] - both)]:
-            yield name, right[j][0]
+            if groups[j] != joined[i]:
+                joined[joined == groups[j]] = joined[i]
+                yield name, right[j][0]
 
 
 def _with_sets(part: pd.DataFrame, like: Likeness) -> list:
