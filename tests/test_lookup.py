@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fiscalmill.operators.lookup import Lookup, hot_keys, left_lookup, salted, salted_join
+from fiscalmill.operators.lookup import Lookup, hot_keys, hot_keys_if_any, left_lookup, salted, salted_join
 from tests.conftest import rows
 
 
@@ -65,3 +65,20 @@ def test_large_lookup_is_not_broadcast(left, right, spark):
 
 def test_staged_lookup_knows_its_size(right):
     assert Lookup(right).staged("right").known_rows == right.count()
+
+
+def test_keys_are_counted_only_in_crowded_buckets(left):
+    found = {r["key"]: r["_parts"] for r in hot_keys_if_any(left, ["key"], 100).collect()}
+    assert found == {r["key"]: r["_parts"] for r in hot_keys(left, ["key"], 100).collect()}
+    assert hot_keys_if_any(left, ["key"], 3000) is None
+    split, hot = salted(left, ["key"], ["id"], hot_rows=3000 - 1)
+    assert hot is None and split.where("_salt <> 0").isEmpty()
+
+
+def test_rows_with_a_null_key_are_not_shuffled(left, right):
+    large = Lookup(right, broadcast_rows=0, hot_rows=50)
+    args = ({"key": F.col("key")}, {"found": "value"}, ["id"])
+    apart = left_lookup(left, large, *args, nulls_apart=True)
+    assert apart.columns == left_lookup(left, large, *args).columns
+    assert rows(apart) == rows(left_lookup(left, large, *args))
+    assert "Union" in apart._jdf.queryExecution().optimizedPlan().toString()

@@ -47,3 +47,33 @@ def test_header_sums_equal_item_sums(spark, folder):
     headers = regular.agg(F.sum(F.col("BASE_OUTR_IPI").cast("decimal(20,0)")) / 100).first()[0]
     items = w.items.join(regular.select("doc_key"), "doc_key", "left_semi").agg(F.sum("_base_amount")).first()[0]
     assert float(headers) == float(items)
+
+
+def joined_types(df):
+    """Types of all columns that a join below the frame gives."""
+    found, todo = set(), [df._jdf.queryExecution().sparkPlan()]
+    while todo:
+        node = todo.pop()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if "Join" in node.nodeName():
+            found |= {node.output().apply(i).dataType().simpleString() for i in range(node.output().size())}
+    return found
+
+
+def test_joins_of_documents_move_no_items(spark, folder):
+    """Lines are joined as narrow rows; items are made of them where their document is."""
+    from fiscalmill.sources import sample
+
+    kinds = joined_types(sample.full_documents(spark, folder))
+    assert kinds and not any("imposto" in k for k in kinds)
+
+
+def test_sums_need_only_repeated_products(spark, folder):
+    from fiscalmill.operators import items as I
+    from fiscalmill.plans.queries import World
+    from tests.conftest import rows
+
+    w = World(spark, folder)
+    assert w.staged_dims.counting().products.rows < w.staged_dims.products.rows
+    assert rows(w.sums) == rows(I.item_sums(w.items))
