@@ -237,3 +237,14 @@ def test_local_runs_without_a_folder_get_one():
     session = Local()
     first = staging.shared_folder(session)
     assert first and staging.shared_folder(session) == first
+
+
+def test_written_xml_is_packed(spark, folder, tmp_path):
+    docs = sample.heads(spark, folder).limit(40)
+    path, lines = str(tmp_path / "files"), str(tmp_path / "lines")
+    xml.write_files(docs, path)
+    xml.write_lines(sample.xml_texts(docs).select(F.regexp_replace("text", "\n *", "").alias("value")), lines)
+    for folder in (tmp_path / "files", tmp_path / "lines"):
+        assert {p.suffix for p in folder.glob("part-*")} == {".gz"}
+    assert xml.readable(xml.scan_files(spark, [path])).count() == 40
+    assert xml.split_documents(xml.read_text_documents(spark, [lines], whole_files=False)).count() == 40
