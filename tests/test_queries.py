@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fiscalmill.plans.queries import World
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 CHECKED = sorted(set(entry.QUERIES) & set(entry.oracle_queries.ORACLES))
@@ -77,3 +78,29 @@ def test_sums_need_only_repeated_products(spark, folder):
     w = World(spark, folder)
     assert w.staged_dims.counting().products.rows < w.staged_dims.products.rows
     assert rows(w.sums) == rows(I.item_sums(w.items))
+
+
+def test_lines_are_counted_without_their_prices(spark, folder, monkeypatch):
+    """Hot keys of lines are counted over the table, so the prices are not looked up a second time for it."""
+    from fiscalmill.operators import lookup
+    from fiscalmill.sources import sample
+
+    counted = []
+    monkeypatch.setattr(lookup, "hot_keys_if_any", lambda df, keys, hot_rows: counted.append((df, keys)))
+    lines = sample._packed_lines(spark, folder, hot_rows=100)
+    assert [keys for _, keys in counted] == [["doc_key"]]
+    assert "Join" not in counted[0][0]._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(len(r["_lines"]) for r in lines.collect()) == counted[0][0].count()
+
+
+def test_quarantine_stages_no_documents(spark, folder, monkeypatch):
+    """What a text is quarantined for is found without writing the documents that are fine."""
+    from fiscalmill.sources import sample, staging, xml
+    from tests.conftest import rows
+
+    staged, stage = [], staging.stage
+    monkeypatch.setattr(staging, "stage", lambda df, name: staged.append(stage(df, name)) or staged[-1])
+    found = rows(entry.queries()["xml_quarantine"](spark, folder))
+    assert [df.columns for df in staged if "NFe" in df.columns] == []
+    texts = World(spark, folder).texts().unionByName(sample.bad_texts(spark, folder))
+    assert found == rows(xml.quarantined(xml.parse_documents(texts)))
