@@ -108,3 +108,11 @@ def test_an_empty_mapping_and_an_unknown_group(spark, folder, tmp_path):
     with pytest.raises(ValueError):
         parameters.replace(spark, path, w.master.heads.where("false"), mapping, w.settings)
     assert not staging.exists(spark, f"{path}/ID_PARAMETRO=1")
+
+
+def test_files_are_scanned_once(spark, tmp_path, monkeypatch):
+    write(tmp_path)
+    scans, scan = [], xml_splits._scan
+    monkeypatch.setattr(xml_splits, "_scan", lambda *a: scans.append(scan(*a)) or scans[-1])
+    docs = xml_splits.scan_documents(spark, [str(tmp_path)])
+    assert len(scans) == 1 and "MapInArrow" not in docs._jdf.queryExecution().optimizedPlan().toString()
