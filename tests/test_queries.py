@@ -104,3 +104,43 @@ def test_quarantine_stages_no_documents(spark, folder, monkeypatch):
     assert [df.columns for df in staged if "NFe" in df.columns] == []
     texts = World(spark, folder).texts().unionByName(sample.bad_texts(spark, folder))
     assert found == rows(xml.quarantined(xml.parse_documents(texts)))
+
+
+def written_frames(monkeypatch):
+    """(source plan, options, path) of nothing but texts that are written from now on."""
+    from pyspark.sql import DataFrameWriter
+
+    seen, text = [], DataFrameWriter.text
+
+    def noted(writer, path, *args, **kwargs):
+        text(writer, path, *args, **kwargs)
+        seen.append(path)
+
+    monkeypatch.setattr(DataFrameWriter, "text", noted)
+    return seen
+
+
+@pytest.mark.parametrize("name", ["ingest_log", "stream_import"])
+def test_landing_texts_are_packed_and_made_once(spark, folder, monkeypatch, name):
+    from fiscalmill.sources import sample, staging
+
+    landings, made, documents = written_frames(monkeypatch), [], sample.full_documents
+    monkeypatch.setattr(sample, "full_documents", lambda *a, **k: made.append(a) or documents(*a, **k))
+    entry.queries()[name](spark, folder)
+    for landing in landings:
+        files, at = staging.file_system(spark, landing)
+        names = [f.getPath().getName() for f in files.listStatus(at)]
+        assert len([n for n in names if n.endswith(".txt.gz")]) > 1 and not [n for n in names if n.endswith(".txt")]
+    assert landings and len(made) == 1
+
+
+def test_parts_of_a_split_scan_lose_nothing_and_go(spark, folder, monkeypatch):
+    from fiscalmill.plans import queries
+    from fiscalmill.sources import staging
+    from tests.conftest import rows
+
+    once = rows(entry.queries()["split_scan"](spark, folder))
+    monkeypatch.setattr(queries, "ARRIVAL_DOCUMENTS", 600)
+    landings = written_frames(monkeypatch)
+    assert rows(entry.queries()["split_scan"](spark, folder)) == once
+    assert len(landings) > 1 and not any(staging.exists(spark, landing) for landing in landings)
