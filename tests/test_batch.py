@@ -161,3 +161,25 @@ def test_tables_are_cut_down_to_the_keys_of_a_batch(spark, folder, parsed):
     cut = dims.reduced(batch_keys(few, w.settings))
     assert cut.partners_by_tax_id.small and 0 < cut.partners_by_tax_id.rows < dims.partners_by_tax_id.rows
     assert cut.products.rows < dims.products.rows and cut.establishments is dims.establishments
+
+
+def test_items_join_their_documents_as_numbers(spark, folder):
+    """With lookup tables too large to broadcast, no join carries the struct of an item; numbered documents are kept."""
+    from fiscalmill.operators.items import item_numbers
+    from fiscalmill.plans import batch
+    from fiscalmill.plans.queries import World
+    from fiscalmill.sources import staging, xml
+    from tests.test_queries import joined_types
+
+    w, steps, frames = World(spark, folder), [], {}
+    parsed = staging.stage(xml.parse_documents(w.texts()).withColumn(batch.ROW, F.monotonically_increasing_id()), "parsed")
+
+    def step(name, make):
+        steps.append(name)
+        frames[name] = make()
+        return staging.stage(frames[name], name)
+
+    outputs = batch.build(parsed, w.master, w.settings, 0, step, broadcast_rows=20)
+    assert "numbered" not in steps
+    assert not any("imposto" in kind for kind in joined_types(frames["items"]))
+    assert outputs.items.count() == w.items.count()
