@@ -26,6 +26,7 @@ each other; an empty table gives an empty result; further columns are passed ove
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from fiscalmill.llm import tokens
 from fiscalmill.llm.anchors import Shape, context, occurrences, packed_texts, symbols_of, tag_of, unpack
 from fiscalmill.llm.common import free_name
-from fiscalmill.sources.staging import stage
+from fiscalmill.sources.staging import COMPRESSION, new_folder, run_scope, stage
 
 LENGTH = 200
 SHAPE = Shape(LENGTH, 64, words=False)
@@ -290,13 +291,8 @@ def rest_of(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
 
 
-def marked_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, key, packed text and marks (tag, pos, spans) of every document."""
-    texts = packed_texts(docs, ordered=False)
-    found = stage(occurrences(docs, texts, SHAPE, ordered=False), "occurrences")
-    place = F.struct("key", "tag", "pos")
-    classes = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("after").alias("after"), F.min(place).alias("at"))
-    classes = stage(classes, "classes")
+def _stage_spans(texts: DataFrame, classes: DataFrame, path: str) -> None:
+    """Writes the spans (h, ctx, low, high) that repeat in contexts of single classes."""
     side = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("before").alias("part")), F.struct(F.lit(1).alias("side"), F.col("after").alias("part"))))
     halves = classes.select("h", "ctx", "at", "n", side.alias("s")).where("s.part <> 0")
     halves = halves.select(F.xxhash64("h", "s.side", "s.part").alias("group"), "s.side", "h", "ctx", "at", "n")
@@ -316,7 +312,22 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     before = F.col("group") == -1
     near, far = F.when(before, HALF).otherwise(0).alias("near"), F.when(before, SHAPE.margin).otherwise(HALF - 1).alias("far")
     hot = stage(contents.where("group < 0").select("h", "ctx", "key", "tag", "start", "lead", "content", near, far), "hot-contexts")
-    spans = stage(indexed.union(_spans_of_hot(hot)), "spans")
+    indexed.union(_spans_of_hot(hot)).write.option("compression", COMPRESSION).parquet(path)
+
+
+def marked_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, key, packed text and marks (tag, pos, spans) of every document."""
+    spark = docs.sparkSession
+    texts = packed_texts(docs, ordered=False)
+    found = stage(occurrences(docs, texts, SHAPE, ordered=False), "occurrences")
+    place = F.struct("key", "tag", "pos")
+    classes = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("before").alias("before"), F.first("after").alias("after"), F.min(place).alias("at"))
+    classes = stage(classes, "classes")
+    path = new_folder(spark, "spans")
+    # Contexts are only read by the search: they go before the marks are joined to the texts.
+    with run_scope(spark, uuid.uuid4().hex):
+        _stage_spans(texts, classes, path)
+    spans = spark.read.schema(SPANS).parquet(path)
     several = classes.where("n > 1").select("h", "ctx", F.lit(None).cast("array<int>").alias("spans"))
     single = spans.groupBy("h", "ctx").agg(F.flatten(F.collect_list(F.array("low", "high"))).alias("spans"))
     single = single.join(classes.where("n > 1").select("h", "ctx"), ["h", "ctx"], "left_anti")

@@ -72,6 +72,17 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     return staged, seen.get["rows"]
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Staging under a folder of its own, which the caller removes when nothing reads from it any more."""
+    folder = new_folder(spark, "scratch")
+    _run_folders.append(folder)
+    try:
+        yield folder
+    finally:
+        _run_folders.remove(folder)
+
+
 @dataclass(frozen=True)
 class Steps:
     """Named intermediate tables of one run. A step that was written to its end is read instead of made again."""
