@@ -1,10 +1,14 @@
 from collections import Counter
+from math import ceil
+from pathlib import Path
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from fiscalmill.plans.queries import World
+from fiscalmill import session
+from fiscalmill.plans.queries import QUERIES, World
+from fiscalmill.sources import staging
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 CHECKED = sorted(set(entry.QUERIES) & set(entry.oracle_queries.ORACLES))
@@ -144,3 +148,18 @@ def test_parts_of_a_split_scan_lose_nothing_and_go(spark, folder, monkeypatch):
     landings = written_frames(monkeypatch)
     assert rows(entry.queries()["split_scan"](spark, folder)) == once
     assert len(landings) > 1 and not any(staging.exists(spark, landing) for landing in landings)
+
+
+def test_shuffles_are_dealt_by_the_size_of_the_input(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "INPUT_BYTES", 500)
+    large = sum(staging.bytes_of(spark, f"{folder}/{name}.parquet") for name in ("orders", "lineitem"))
+    assert large == sum(Path(folder, f"{name}.parquet").stat().st_size for name in ("orders", "lineitem"))
+    QUERIES["doc_number"](spark, folder)
+    assert spark.conf.get(session.INITIAL_PARTITIONS) == str(ceil(large / 500))
+    assert int(spark.conf.get(session.ADVISED).rstrip("b")) <= session.TASK_BYTES
+    session.tune(spark)
+    assert spark.conf.get(session.INITIAL_PARTITIONS) == str(ceil(large / 500))
+    monkeypatch.undo()
+    QUERIES["doc_number"](spark, folder)
+    assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
+    assert staging.bytes_of(spark, f"{folder}/nothing.parquet") == 0
