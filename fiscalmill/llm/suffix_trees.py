@@ -43,11 +43,11 @@ MOST_SPLIT = 1024
 """Prefixes that are made longer, at most: the limit rises with the number of suffixes."""
 SAMPLE = 16
 
-SUFFIXES = "s0 long, s1 long, s2 long, h long, ctx long, key long, at int, sure boolean"
+SUFFIXES = "s0 long, s1 long, s2 long, class long, key long, at int, sure boolean"
 
 
 def _suffix_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Suffixes of the wanted contexts. `wanted` holds (h, ctx, tag, pos); `at` counts from the context's start."""
+    """Suffixes of the wanted contexts. `wanted` holds (class, tag, pos); `at` counts from the context's start."""
     for part in parts:
         part = part.reset_index(drop=True)
         texts = unpack(part["packed"])
@@ -57,10 +57,10 @@ def _suffix_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = []
             for i in range(last - first):
                 tag = tag_of(texts[first + i])
-                rows += [(i, w["h"], w["ctx"], w["pos"]) for w in part["wanted"][first + i] if w["tag"] == tag]
+                rows += [(i, w["class"], w["pos"]) for w in part["wanted"][first + i] if w["tag"] == tag]
             if not rows:
                 continue
-            text, h, ctx, pos = (np.array(c, np.int64) for c in zip(*rows, strict=True))
+            text, of, pos = (np.array(c, np.int64) for c in zip(*rows, strict=True))
             start, end = context(pos, sizes[text], SHAPE)
             count = np.maximum(0, end - start - LENGTH + 1)
             which = np.repeat(np.arange(len(rows)), count)
@@ -68,7 +68,7 @@ def _suffix_rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             begin = symbols.offsets[text][which] + start[which] + at
             s = [symbols.hash(begin + a, begin + b).view(np.int64) for a, b in LEVELS]
             keys = part["key"].to_numpy(np.int64)[first:last][text][which]
-            out = pd.DataFrame({"s0": s[0], "s1": s[1], "s2": s[2], "h": h[which], "ctx": ctx[which], "key": keys, "at": at.astype(np.int32)})
+            out = pd.DataFrame({"s0": s[0], "s1": s[1], "s2": s[2], "class": of[which], "key": keys, "at": at.astype(np.int32)})
             out["sure"] = out["key"] > out.groupby(["s0", "s1", "s2"])["key"].transform("min")
             spread = tokens.mix(begin.astype(np.uint64) + keys.astype(np.uint64) * np.uint64(tokens.BASE)).view(np.int64)
             out["s0"] = np.where(out["sure"], spread, out["s0"])
@@ -87,7 +87,7 @@ def subtree_depths(suffixes: np.ndarray) -> np.ndarray:
 
 
 def _deep_nodes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(h, ctx, at) of suffixes below a node of full depth whose first document is an earlier one.
+    """(class, at) of suffixes below a node of full depth whose first document is an earlier one.
 
     Rows come sorted by suffix and document. What is kept from batch to batch is the last suffix and its first document.
     """
@@ -107,7 +107,7 @@ def _deep_nodes(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             firsts[0] = first_key
         marked = part["sure"].to_numpy(bool) | (keys > firsts[node])
         last, first_key = rows[-1], firsts[-1]
-        yield part.loc[marked, ["h", "ctx", "at"]]
+        yield part.loc[marked, ["class", "at"]]
 
 
 def _grouped(suffixes: DataFrame, sampled: DataFrame) -> DataFrame:
@@ -127,8 +127,10 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     classes = found.groupBy("h", "ctx").agg(F.min(F.struct("key", "tag", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     classes = stage(classes, "classes")
     several = classes.groupBy(F.col("h").alias("anchor")).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("anchor")
-    open_classes = classes.join(several, F.col("h") == F.col("anchor")).select("h", "ctx", "first")
-    by_text = open_classes.groupBy("first.key").agg(F.collect_list(F.struct("h", "ctx", "first.tag", "first.pos")).alias("wanted"))
+    # Open classes go by a number from here on, which is shorter than their hashes and packs well.
+    numbered = classes.join(several, F.col("h") == F.col("anchor")).select(F.monotonically_increasing_id().alias("class"), "h", "ctx", "first.*")
+    numbered = stage(numbered, "open-classes")
+    by_text = numbered.groupBy("key").agg(F.collect_list(F.struct("class", "tag", "pos")).alias("wanted"))
     by_text = stage(by_text, "wanted")
 
     def suffixes_of(wanted: DataFrame) -> DataFrame:
@@ -137,9 +139,9 @@ def marked_texts(docs: DataFrame) -> DataFrame:
     sampled = suffixes_of(by_text.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0))
     grouped = _grouped(suffixes_of(by_text), sampled)
     ordered = grouped.repartition("prefix").sortWithinPartitions("s0", "s1", "s2", "key")
-    deep = ordered.select("s0", "s1", "s2", "h", "ctx", "key", "at", "sure").mapInPandas(_deep_nodes, "h long, ctx long, at int")
-    deep = deep.groupBy("h", "ctx").agg(F.collect_set("at").alias("at"))
-    deep = stage(deep.join(classes.select("h", "ctx", F.col("first.key").alias("first_key")), ["h", "ctx"]), "deep-nodes")
+    deep = ordered.select("s0", "s1", "s2", "class", "key", "at", "sure").mapInPandas(_deep_nodes, "class long, at int")
+    deep = deep.groupBy("class").agg(F.collect_set("at").alias("at"))
+    deep = stage(deep.join(numbered.select("class", "h", "ctx", F.col("key").alias("first_key")), "class").drop("class"), "deep-nodes")
     later = found.join(classes.where("n > 1").select("h", "ctx", F.col("first.key").alias("first_key")), ["h", "ctx"]).where("key > first_key")
     marks = later.select("key", "tag", "pos", F.lit(None).cast("array<int>").alias("at")).union(
         found.join(deep, ["h", "ctx"]).where("key = first_key").select("key", "tag", "pos", "at")

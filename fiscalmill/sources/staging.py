@@ -60,15 +60,24 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+"""Whether Spark removes the shuffle files of a query when it ends, instead of when the driver collects its plan."""
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as parquet and read it back.
 
     Cuts the lineage, fixes values that would differ on recomputation, survives lost executors, and lets each
-    later reader take only the columns it needs.
+    later reader take only the columns it needs. The shuffle files of the write are removed with its end.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.option("compression", COMPRESSION).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_folder(df.sparkSession, name)
+    # Only for this write: a frame of the caller's may be run twice on the same shuffle files.
+    spark.conf.set(SHUFFLE_CLEANUP, True)
+    try:
+        df.write.option("compression", COMPRESSION).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, spark.sparkContext.getConf().get(SHUFFLE_CLEANUP, "false"))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:

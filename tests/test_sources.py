@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -239,6 +241,26 @@ def test_local_runs_without_a_folder_get_one():
     assert first and staging.shared_folder(session) == first
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = []
+    while files.hasNext():
+        names.append(files.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_of_a_staged_frame_are_removed(spark):
+    before = shuffle_files(spark)
+    staged = staging.stage(spark.range(1000).repartition(3, "id"), "numbers")
+    for _ in range(100):  # they are removed beside the work
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    assert staged.count() == 1000
+    assert spark.conf.get(staging.SHUFFLE_CLEANUP) == "false"
+
+
 def test_written_xml_is_packed(spark, folder, tmp_path):
     docs = sample.heads(spark, folder).limit(40)
     path, lines = str(tmp_path / "files"), str(tmp_path / "lines")
