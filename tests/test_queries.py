@@ -163,3 +163,21 @@ def test_shuffles_are_dealt_by_the_size_of_the_input(spark, folder, monkeypatch)
     QUERIES["doc_number"](spark, folder)
     assert spark.conf.get(session.INITIAL_PARTITIONS, None) is None
     assert staging.bytes_of(spark, f"{folder}/nothing.parquet") == 0
+
+
+def test_partitions_that_are_not_joined_are_dealt_by_size_too(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "INPUT_BYTES", 500)
+    large = sum(Path(folder, f"{name}.parquet").stat().st_size for name in ("orders", "lineitem"))
+    own = spark.conf.get(session.PARTITIONS)
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(joined, False)
+    try:
+        for _ in range(2):
+            QUERIES["doc_number"](spark, folder)
+            assert spark.conf.get(session.PARTITIONS) == str(ceil(large / 500))
+        monkeypatch.undo()
+        QUERIES["doc_number"](spark, folder)
+        assert spark.conf.get(session.PARTITIONS) == own
+    finally:
+        spark.conf.unset(joined)
+    assert int(spark.conf.get(session.SPLIT_BYTES).rstrip("b")) <= session.TASK_BYTES
