@@ -24,6 +24,7 @@ equal samples; a null id seeds as the word null; an empty table gives an empty r
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 import math
 import random
@@ -51,6 +52,8 @@ SAMPLE_CHARACTERS = 1_000_000
 """Characters of texts whose lattices are built together. A longer text is on its own."""
 WINDOW = 256
 """Edges of a path among which the end of its mass is looked for first."""
+SLOT_BITS, MULTIPLIER = 20, 0xC4CEB9FE1A85EC53
+"""Of the table of all beginnings of pieces."""
 MARK = "▁"
 
 
@@ -221,25 +224,25 @@ class Pieces:
         """Every beginning of a piece by its hash: the piece that it is, and whether a longer one begins with it."""
         owners = {name[:n]: -1 for name in pieces for n in range(1, len(name) + 1)} | pieces
         longer = {name[:n] for name in pieces for n in range(1, len(name))}
-        joined = prefix_sums(np.frombuffer("".join(owners).encode("utf-32-le"), np.uint32).astype(np.uint64))
+        joined = np.frombuffer("".join(owners).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
         sizes = np.array([len(name) for name in owners])
-        at, hashes = np.cumsum(sizes) - sizes, np.zeros(len(sizes), np.uint64)
-        for n in np.unique(sizes).tolist():
-            hashes[sizes == n] = run_hash(joined, at[sizes == n], n)
-        order = np.argsort(hashes)
+        places = ragged(np.zeros(len(sizes), np.int64), sizes)
+        hashes = np.add.reduceat(joined * tokens.powers(tokens.BASE, self.longest)[places], np.cumsum(sizes) - sizes)
+        slots = slots_of(hashes)
+        order = np.argsort(slots)
+        slots = slots[order]
         self.hashes = np.concatenate([hashes[order], np.zeros(1, np.uint64)])
         self.hash_ids = np.array([*owners.values(), -1])[[*order.tolist(), -1]]
         self.goes_on = np.array([*[name in longer for name in owners], False])[[*order.tolist(), -1]]
-        bucket = (self.hashes[:-1] >> np.uint64(44)).astype(np.int64)
-        self.most = int(np.bincount(bucket).max())
-        self.bucket = np.full(1 << 20, len(bucket), np.int32)
-        self.bucket[bucket[::-1]] = np.arange(len(bucket))[::-1]
-        self.characters = self.find(run_hash_of_characters(np.arange(1 << 16, dtype=np.uint64)))
+        self.most = int(np.bincount(slots).max())
+        self.slots = np.full(1 << SLOT_BITS, len(slots), np.int64)
+        self.slots[slots[::-1]] = np.arange(len(slots))[::-1]
+        self.characters = self.find(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of hashes in the index; its last place for those that are not there."""
         end = len(self.hashes) - 1
-        at = self.bucket[hashes >> np.uint64(44)]
+        at = self.slots[slots_of(hashes)]
         other = np.flatnonzero(self.hashes[at] != hashes)
         for _ in range(self.most - 1):
             at[other] = np.minimum(at[other] + 1, end)
@@ -249,9 +252,9 @@ class Pieces:
 
     def of_character(self, points: np.ndarray) -> np.ndarray:
         """`find` of single characters."""
-        common = self.characters[np.minimum(points, len(self.characters) - 1)].astype(np.int32)
+        common = self.characters[np.minimum(points, len(self.characters) - 1)]
         rare = np.flatnonzero(points >= len(self.characters))
-        common[rare] = self.find(run_hash_of_characters(points[rare]))
+        common[rare] = self.find(points[rare].astype(np.uint64) + np.uint64(1))
         return common
 
     def numbers(self, cut: Cut) -> np.ndarray:
@@ -351,6 +354,16 @@ class Pieces:
         return [self.byte_ids[b] for b in chr(point).encode("utf-8", "surrogatepass")]
 
 
+def keep_memory() -> None:
+    """Arrays of some MB are made and dropped all the time: the allocator keeps their pages instead of returning each."""
+    try:
+        allocator = ctypes.CDLL("libc.so.6")
+        allocator.mallopt(-3, 32 << 20)  # from this size on, memory of its own
+        allocator.mallopt(-1, 256 << 20)  # free memory at the end that is kept
+    except (OSError, AttributeError):  # another allocator
+        pass
+
+
 def _valid(text: str) -> bytes | None:
     """A text in UTF-8, None if it has characters that UTF-8 has not."""
     try:
@@ -380,27 +393,28 @@ class Lattices:
         self.entry = np.empty(len(numbers), np.int64)
         self.entry[by_size] = base[sizes] + np.arange(len(sizes))
 
-        points = points.astype(np.uint64)
-        sums = prefix_sums(points)
-        before, unit = sums[place], tokens.powers(tokens.INVERSE, len(sums))[place]
+        single = pieces.of_character(points)[place]
+        alone = -1 - points[place].astype(np.int64)
+        points = points.astype(np.uint64) + np.uint64(1)
         nodes, lengths = np.arange(n), range(1, min(pieces.longest, longest) + 1)
-        count, found = np.zeros(n, np.int32), []
+        last, hashes = place, points[place]
+        count, found = np.ones(n, np.int32), []
         for length in lengths:
-            nodes = nodes[np.searchsorted(nodes, base[length]) :]
             if length == 1:
-                at = pieces.of_character(points)[place]
+                at = single
+                ids = pieces.hash_ids[at]
+                found.append((nodes, np.where(ids < 0, alone, ids)))
             else:
-                at = pieces.find(tokens.mix((sums[place[nodes] + length] - before[nodes]) * unit[nodes] + np.uint64(length)))
-            ids = pieces.hash_ids[at]
-            if length == 1:
-                ids = np.where(ids < 0, -1 - points[place].astype(np.int64), ids)
-                count[:] = 1
-                found.append((nodes, ids))
-            else:
-                hit = ids >= 0
+                longer = int(np.searchsorted(nodes, base[length]))
+                nodes, last = nodes[longer:], last[longer:] + 1
+                hashes = hashes[longer:] + points[last] * tokens.powers(tokens.BASE, pieces.longest)[length - 1]
+                at = pieces.find(hashes)
+                ids = pieces.hash_ids[at]
+                hit = np.flatnonzero(ids >= 0)
                 found.append((nodes[hit], ids[hit]))
                 count[found[-1][0]] += 1
-            nodes = nodes[pieces.goes_on[at]]
+            going = np.flatnonzero(pieces.goes_on[at])
+            nodes, last, hashes = nodes[going], last[going], hashes[going]
         self.first = np.concatenate([[0], np.cumsum(count)])
         edges, free = int(self.first[-1]), self.first[:-1].copy()
         self.ids, self.end = np.empty(edges, np.int32), np.empty(edges, np.int64)
@@ -470,13 +484,8 @@ def prefix_sums(points: np.ndarray) -> np.ndarray:
     return out
 
 
-def run_hash(sums: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    return tokens.mix((sums[at + length] - sums[at]) * tokens.powers(tokens.INVERSE, len(sums))[at] + np.uint64(length))
-
-
-def run_hash_of_characters(points: np.ndarray) -> np.ndarray:
-    """`run_hash` of single characters."""
-    return tokens.mix(points + np.uint64(2))
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * np.uint64(MULTIPLIER)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 def uniform(seeds: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -728,6 +737,7 @@ def segmentations(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: i
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_memory()
         pieces = Pieces(model)
         for part in parts:
             doc_ids, texts = part.column("doc_id").to_pylist(), [t or "" for t in part.column("text").to_pylist()]
