@@ -595,7 +595,10 @@ def header_items_inner(spark: SparkSession, folder: str) -> DataFrame:
 def first_layout(spark: SparkSession, folder: str) -> tuple[World, DataFrame, DataFrame]:
     """Resolved goods invoices with all their items, and the items of the first layout."""
     w = World(spark, folder)
-    resolved = staging.stage(variants.first_resolved(w.docs, w.staged_dims, w.settings, KEY), "resolved")
+    # Invoices are resolved before their items join them. Lines without an order join none, and are no invoice.
+    found = lambda heads: variants.first_resolved(heads, w.staged_dims, w.settings, KEY)
+    docs = variants.goods_invoices(sample.full_documents(spark, folder, found=found))
+    resolved = staging.stage(docs, "resolved")
     products = variants.first_product_map(w.master.details, w.master.heads, w.master.products, w.master.units, w.settings)
     lookup = Lookup(products).staged("first-products")
     return w, resolved, variants.first_items(resolved, w.staged_dims, lookup, w.settings, KEY)

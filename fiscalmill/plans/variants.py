@@ -68,9 +68,13 @@ def first_product_map(details: DataFrame, heads: DataFrame, products: DataFrame,
     return joined.select(F.col("CONTEUDO").alias("cod_ncm"), F.col("VALOR").alias("material"), "cod_und_padrao").distinct()
 
 
+def goods_invoices(docs: DataFrame) -> DataFrame:
+    return docs.where(E.doc("ide.nNF").isNotNull())
+
+
 def first_resolved(docs: DataFrame, dims: D.Dimensions, settings: Settings, spread: list[str]) -> DataFrame:
     """Goods invoices with the establishment that their recipient names, and their issuer without overrides."""
-    goods = docs.where(E.doc("ide.nNF").isNotNull())
+    goods = goods_invoices(docs)
     own = dims.establishments.where(F.col("COD_ESTAB").startswith(settings.estab_prefix))
     place = {"COD_EMPRESA": "COD_EMPRESA", "COD_ESTAB": "COD_ESTAB"}
     out = left_lookup(goods, own, {"CGC": E.doc("dest.CNPJ")}, place, spread, base=goods)
@@ -86,6 +90,16 @@ def _first_amount(value: Column, decimals: int = 2) -> Column:
     return E.fixed_point(E.issuer_amount(value), decimals, AMOUNT_WIDTH)
 
 
+def _avulsa_value(amount: Column) -> Column:
+    """`E.issuer_amount` where the document is told by `_avulsa` alone."""
+    zero = F.lit(0).cast("decimal(1,0)")
+    return F.when(F.col("_avulsa"), zero).otherwise(F.coalesce(amount, zero))
+
+
+def _avulsa_digits(amount: Column, decimals: int) -> Column:
+    return E.fixed_point(_avulsa_value(amount), decimals, AMOUNT_WIDTH)
+
+
 def first_items(
     resolved: DataFrame, dims: D.Dimensions, products: Lookup, settings: Settings, passed: list[str]
 ) -> DataFrame:
@@ -97,38 +111,47 @@ def first_items(
     prod, taxes = item["prod"], item["imposto"]
     zero = F.lit(0).cast(E.MONEY)
     base = prod["vProd"] - F.coalesce(prod["vDesc"], zero) + F.coalesce(taxes["IPI"]["IPITrib"]["vIPI"], zero)
+    # Numbers go through the joins, their digits are made afterwards.
+    numbers = {"_quantity": prod["qCom"], "_price": prod["vUnCom"], "_value": prod["vProd"], "_discount": prod["vDesc"], "_base": base}
     own = I.explode_items(resolved).select(
         *passed,
         "COD_EMPRESA",
         "COD_ESTAB",
         F.col("_kind").alias("IND_FIS_JUR"),
         "COD_FIS_JUR",
-        E.document_number(E.doc("ide.nNF"), F.lit(None)).alias("NUM_DOCFIS"),
+        E.doc("ide.nNF").alias("_nnf"),
         E.doc("ide.serie").alias("SERIE_DOCFIS"),
         item["_nItem"].alias("NUM_ITEM"),
-        E.fixed_point(prod["qCom"], 6, QUANTITY_WIDTH).alias("QUANTIDADE"),
         prod["uCom"].alias("COD_MEDIDA"),
-        F.lpad(prod["NCM"], 8, "0").alias("COD_NBM"),
-        _first_amount(prod["vUnCom"], 4).alias("VLR_UNIT"),
-        _first_amount(prod["vProd"]).alias("VLR_ITEM"),
         F.coalesce(*[taxes["ICMS"][v]["orig"] for v in E.ICMS_VARIANTS]).alias("COD_SITUACAO_A"),
         E.situation_code(taxes["ICMS"]["ICMS00"]["vICMS"]).alias("COD_SITUACAO_B"),
         E.tribute_code(taxes["ICMS"]["ICMS00"]["vICMS"]).alias("TRIB_ICMS"),
-        *[_first_amount(base).alias(c) for c in ("BASE_ICMS", "BASE_IPI", "VLR_CONTAB_ITEM")],
-        _first_amount(prod["vDesc"]).alias("VLR_DESCONTO"),
-        E.issuer_amount(base).cast(E.MONEY).alias(I.BASE),
+        E.is_avulsa(E.doc("emit.CPF"), E.doc("emit.IE")).alias("_avulsa"),
+        *[n.alias(name) for name, n in numbers.items()],
         prod["CFOP"].alias("_cfop_key"),
         prod["NCM"].alias("_ncm_key"),
     )
     spread = [*passed, "NUM_ITEM"]
-    out = left_lookup(own, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, I.CFOP_COLUMNS, spread)
+    # The largest table first, so that its rows carry one operation code and not the two that it stands for.
     take = {"_material": "material", "_unit": "cod_und_padrao"}
-    out = left_lookup(out, products, {"cod_ncm": F.col("_ncm_key")}, take, spread, base=own)
+    out = left_lookup(own, products, {"cod_ncm": F.col("_ncm_key")}, take, spread)
+    out = left_lookup(out, dims.cfop, {"cod_cfo": F.col("_cfop_key")}, I.CFOP_COLUMNS, spread, base=own)
+    digits = lambda name, decimals=2: _avulsa_digits(F.col(name), decimals)
+    texts = {
+        "NUM_DOCFIS": E.document_number(F.col("_nnf"), F.lit(None)),
+        "QUANTIDADE": E.fixed_point(F.col("_quantity"), 6, QUANTITY_WIDTH),
+        "COD_NBM": F.lpad("_ncm_key", 8, "0"),
+        "VLR_UNIT": digits("_price", 4),
+        "VLR_ITEM": digits("_value"),
+        **{c: digits("_base") for c in ("BASE_ICMS", "BASE_IPI", "VLR_CONTAB_ITEM")},
+        "VLR_DESCONTO": digits("_discount"),
+        I.BASE: _avulsa_value(F.col("_base")).cast(E.MONEY),
+    }
     mapped = {"COD_PRODUTO": "_material", "COD_UND_PADRAO": "_unit", "COD_CFO": "_cfo", "COD_NATUREZA_OP": "_natop"}
     fixed = {n: F.lit(v) for n, v in settings.constants["goods"].items()}
     dates = {n: F.lit(settings.run_date) for n in ("DATA_FISCAL", "DAT_LANC_PIS_COFINS")}
     codes = {n: E.or_sentinel(F.col(c), settings.sentinel) for n, c in mapped.items()}
-    return out.withColumns(fixed | dates | codes).select(*FIRST_ITEM_LAYOUT, I.BASE, *passed)
+    return out.withColumns(fixed | dates | codes | texts).select(*FIRST_ITEM_LAYOUT, I.BASE, *passed)
 
 
 def first_headers(
