@@ -63,3 +63,19 @@ def test_landed_texts_of_the_intake_are_packed(spark, folder, tmp_path, monkeypa
     assert files and all(f.endswith(".gz") for f in files)
     assert len(list(tmp_path.glob("texts-*"))) == 1
     assert sum(r["documents"] for r in rows) == 1500
+
+
+def test_prices_of_a_run_from_text_are_broadcast_no_further_than_other_tables(spark, folder, monkeypatch):
+    asked = []
+    lookup = sample.left_lookup
+
+    def watched(left, table, *more, **named):
+        asked.append(table.broadcast_rows)
+        return lookup(left, table, *more, **named)
+
+    monkeypatch.setattr(sample, "left_lookup", watched)
+    queries.batch_outputs(spark, folder)
+    assert asked and max(asked) <= 200_000
+    few, all_ = sample.goods_lines(spark, folder, price_rows=10), sample.goods_lines(spark, folder)
+    assert max(asked) == sample.PRICE_ROWS
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, all_.collect()))
